@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from courtloom.functions import values
 from courtloom.operators.normalize import explode_entries
@@ -164,4 +165,4 @@ def store_tables(staged: DataFrame, out: str, batch: int = 0) -> None:
 
 def read_table(spark, out: str, table: str) -> DataFrame:
     """A stored table, all batches."""
-    return spark.read.schema(table_schema(table).add("batch", "int")).parquet(f"{out}/{table}")
+    return spark.read.schema(table_schema(table).add("batch", IntegerType())).parquet(f"{out}/{table}")
