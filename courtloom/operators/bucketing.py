@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from courtloom import vocab
 from courtloom.functions import buckets
 from courtloom.operators.joins import lookup_join, salted_join
+from courtloom.session import durable
 
 GENERAL = "outcome courttype courtname casetype race sex height weight state zip".split()
 TOPICAL = "outcome casetype race sex height weight state zip".split()
@@ -70,12 +71,16 @@ def carry_court_type(rows: DataFrame, cell_digits: int = 2) -> DataFrame:
 
 
 def labelled_rows(extract: DataFrame, types: DataFrame, comma_scrub_first: bool = False) -> DataFrame:
-    """Extract rows (with `case_id`) plus outcome and all buckets."""
+    """Extract rows (with `case_id`) plus outcome and all buckets.
+
+    The extract is written once: the carry reads it more than once, and its joins
+    should not run again for that.
+    """
     text = lambda c: buckets.scrub_commas(F.col(c)) if comma_scrub_first else F.col(c)
     if comma_scrub_first:
         scrubbed = "disposition court_system type race sex state zip".split()
         extract = extract.withColumns({c: text(c) for c in scrubbed})
-    rows = case_type_bucket(carry_court_type(extract), types)
+    rows = case_type_bucket(carry_court_type(durable(extract, "extract")), types)
     return rows.withColumns(
         {
             "outcome": buckets.outcome(F.col("disposition")),

@@ -26,18 +26,23 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, from `spark.checkpoint.dir`.
 
-    Only a session that names none, such as a local test, gets one of its own.
+    Only a local session that names none, such as a test, gets one of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    if context.applicationId not in _OWN_DIRS:
+        _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="run-")
+    return _OWN_DIRS[context.applicationId]
 
 
 def work_path(spark: SparkSession, name: str) -> str:

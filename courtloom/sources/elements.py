@@ -53,38 +53,38 @@ def page_elements(html: str, wanted: frozenset, classes_of=class_list, nested=Fa
     The text of an element is a run of the page's text chunks, so nesting costs nothing.
     """
     chunks, found, names, marks, silent, at = [], [], [], [], 0, 0
-
-    def text(upto):
-        if upto > at and not silent:
-            chunk = html[at:upto]
-            chunks.append(unescape(chunk) if "&" in chunk else chunk)
-
     for token in TOKEN.finditer(html):
-        text(token.start())
-        at = token.end()
-        tag = token["tag"]
+        start, end = token.span()
+        if start > at and not silent:
+            chunk = html[at:start]
+            chunks.append(unescape(chunk) if "&" in chunk else chunk)
+        at = end
+        _, closing, tag, attrs = token.groups()
         if tag is None:
             continue
         tag = tag.lower()
-        if token["end"]:
+        if closing:
             if tag in names:
                 name = None
                 while name != tag:
                     name, mark = names.pop(), marks.pop()
-                    silent -= name in SILENT
                     if mark is not None:
                         found[mark][4:] = len(chunks), len(found)
+                    elif name in SILENT:
+                        silent -= 1
             continue
         mark = None
         if tag in wanted:
             mark = len(found)
             parent = names[-1] if names else None
-            found.append([tag, parent, classes_of(token["attrs"]), len(chunks), len(chunks), mark + 1])
-        if tag not in VOID and not token["attrs"].endswith("/"):
+            found.append([tag, parent, classes_of(attrs), len(chunks), len(chunks), mark + 1])
+        if tag not in VOID and attrs[-1:] != "/":
             names.append(tag)
             marks.append(mark)
-            silent += tag in SILENT
-    text(len(html))
+            if mark is None and tag in SILENT:
+                silent += 1
+    if at < len(html) and not silent:
+        chunks.append(unescape(html[at:]))
     for mark in marks:
         if mark is not None:
             found[mark][4:] = len(chunks), len(found)
