@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from courtloom import vocab
 from courtloom.functions.text import format_mdy, url_case_id
+from courtloom.operators.joins import salted_join
 from courtloom.sources.elements import html_links
 
 
@@ -41,7 +42,7 @@ def search_grid(days: DataFrame, day: str = "day") -> DataFrame:
 
 
 def links_in(links: Column, holder: str, holder_class: str | None = None) -> Column:
-    """Addresses of the anchors inside the given holders, in page order, each once per holder-free place."""
+    """Addresses of the anchors inside the given holders, in page order, each anchor once."""
     holds = lambda q: (q["tag"] == holder) & (F.lit(True) if holder_class is None else F.array_contains(q["classes"], holder_class))
 
     def inside(holders: Column) -> Column:
@@ -81,13 +82,13 @@ def with_case_id(links: DataFrame, url: str = "href") -> DataFrame:
 
 
 def unseen(links: DataFrame, stored: DataFrame) -> DataFrame:
-    """Links whose case is not stored yet."""
-    return links.join(stored.select("case_id"), "case_id", "left_anti")
+    """Links whose case is not stored yet. Pass links that are written out: their ids are read twice."""
+    return salted_join(links, stored.select("case_id"), "case_id", "left_anti")
 
 
 def seen(links: DataFrame, stored: DataFrame) -> DataFrame:
-    """Links whose case is stored already."""
-    return links.join(stored.select("case_id"), "case_id", "left_semi")
+    """Links whose case is stored already, written out as for `unseen`."""
+    return salted_join(links, stored.select("case_id"), "case_id", "left_semi")
 
 
 def pagination(pages: DataFrame, *keys: str) -> DataFrame:

@@ -25,16 +25,18 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     """Equi-join on `key`, spreading keys that are heavy on the `left` over `salts` reducers.
 
     Rows of a heavy key get a salt from a hash of the whole row, which a re-run
-    task repeats; the few matching right rows are copied to every salt.  The salt
+    task repeats; the few matching right rows are copied to every salt.  Rows
+    without a key match nothing and are spread the same way.  The salt
     in the join key also puts the join in a stage of its own, where adaptive
     execution can split what is still skewed, such as a row repeated many times.
-    `how` may be inner, left, left_semi or left_anti.
+    `how` may be inner, left, left_semi or left_anti.  The key column of `left` is
+    read twice, so a `left` that is costly to compute should be written first.
     """
     heavy = F.broadcast(heavy_keys(left, key, rows).withColumn("_heavy", F.lit(True)))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     mark = lambda df: df.join(heavy, key, "left")
     spread = mark(left).withColumn(
-        "_salt", F.when(F.col("_heavy"), F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(0)
+        "_salt", F.when(F.col("_heavy") | F.col(key).isNull(), F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(0)
     )
     copied = mark(right).withColumn(
         "_salt",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from courtloom.functions import values
+from courtloom.operators.joins import salted_join
 from courtloom.operators.normalize import explode_entries
 from courtloom.schemas import DATE_COLUMNS, FLAG_COLUMNS, INT_COLUMNS, MONEY_COLUMNS, TABLE_COLUMNS, TABLES, TERM_COLUMNS, table_schema
 
@@ -47,25 +48,24 @@ def nonsense_rejects(parsed: DataFrame) -> DataFrame:
 
 
 def duplicate_rejects(parsed: DataFrame, cases: DataFrame | None = None) -> DataFrame:
-    """Pages whose case id is stored already or belongs to another page of this batch."""
-    keys = parsed.where(F.col("case_id").isNotNull()).select("raw_case_id", "page_hash", "case_id")
-    reason = F.lit("duplicate").alias("reason")
+    """Pages whose case id is stored already or belongs to another page of this batch.
+
+    Copies of a page are counted before anything moves; the one join that meets a
+    repeated id is salted.
+    """
+    keys = parsed.where(F.col("case_id").isNotNull()).select("case_id", "raw_case_id", "page_hash")
     counted = keys.groupBy("case_id", "raw_case_id", "page_hash").agg(F.count("*").alias("copies"))
+    best = keys.groupBy("case_id").agg(F.min(F.struct("raw_case_id", "page_hash")).alias("best"))
     if cases is not None:
-        stored = cases.select("case_id")
-        old = counted.join(stored, "case_id", "left_semi").withColumn("surplus", F.col("copies"))
-        counted = counted.join(stored, "case_id", "left_anti")
-    best = counted.groupBy("case_id").agg(F.min(F.struct("raw_case_id", "page_hash")).alias("best"))
-    is_best = F.struct("raw_case_id", "page_hash") == F.col("best")
-    surplus = (
-        counted.join(best, "case_id")
-        .withColumn("surplus", F.col("copies") - is_best.cast("int"))
-        .drop("best")
-    )
-    if cases is not None:
-        surplus = surplus.unionByName(old)
-    return surplus.where("surplus > 0").select(
-        "raw_case_id", "case_id", reason, F.col("surplus").alias("pages")
+        stored = cases.select("case_id", F.lit(True).alias("stored"))
+        best = best.join(stored, "case_id", "left")
+        best = best.select("case_id", F.when(F.col("stored").isNull(), F.col("best")).alias("best"))
+    stays = F.coalesce(F.struct("raw_case_id", "page_hash") == F.col("best"), F.lit(False))
+    return (
+        salted_join(counted, best, "case_id")
+        .withColumn("pages", F.col("copies") - stays.cast("int"))
+        .where("pages > 0")
+        .select("raw_case_id", "case_id", F.lit("duplicate").alias("reason"), "pages")
     )
 
 

@@ -6,6 +6,8 @@ check the whole way from HTML back to values.
 
 from __future__ import annotations
 
+from pyspark.sql.types import IntegerType
+
 from courtloom.schemas import TABLE_COLUMNS, column_fields
 from courtloom.sources.demo import view_sql
 
@@ -26,7 +28,7 @@ def _with(names: str, body: str) -> str:
     ctes["paged_charges"] = """SELECT *, k + j AS n, (k + j) % 3 AS yrs, (k + j) % 20 AS mos, (k + j) % 7 AS days, (k + j) % 24 AS hrs
       FROM paged CROSS JOIN counts WHERE k % 3 >= j"""
     ctes["paged_events"] = """SELECT *, 'HEAR ' || CAST(step AS varchar) AS event_type, mdy AS event_date FROM paged CROSS JOIN steps
-      WHERE step >= 1 AND step <= k % 4 UNION ALL SELECT *, 'SHORT', NULL FROM paged CROSS JOIN steps WHERE step = 0 AND k % 7 = 0"""
+      WHERE step >= 1 AND step <= k % 4 UNION ALL SELECT *, 'SHORT', CAST(NULL AS varchar) FROM paged CROSS JOIN steps WHERE step = 0 AND k % 7 = 0"""
     ctes["events_loaded"] = """SELECT cid, k, 'HEAR ' || CAST(step AS varchar) AS event_type, day AS event_date, mdy
       FROM loaded CROSS JOIN steps WHERE step >= 1 AND step <= k % 4
       UNION ALL SELECT cid, k, 'SHORT', NULL, NULL FROM loaded WHERE k % 7 = 0"""
@@ -337,7 +339,8 @@ LOAD_NAMES = "facts loaded counts steps charge_facts events_loaded"
 def _typed(column: str, given: dict) -> str:
     fields = [f.name for f in column_fields(column)]
     if column not in given:
-        return ", ".join(f"NULL AS {_quoted(f)}" for f in fields)
+        kind = "int" if isinstance(column_fields(column)[0].dataType, IntegerType) else "varchar"
+        return ", ".join(f"CAST(NULL AS {kind}) AS {_quoted(f)}" for f in fields)
     value = given[column][0]
     if column == "jail_term":
         return ", ".join(f"CAST(CASE WHEN n % 5 <> 4 THEN {v} END AS int) AS {f}" for f, v in zip(fields, value))

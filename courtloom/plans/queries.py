@@ -113,8 +113,11 @@ def _result_pages(spark, folder) -> DataFrame:
 
 
 def _links(spark, folder) -> DataFrame:
-    pages = frontier.with_page_links(_result_pages(spark, folder))
-    return frontier.explode_links(pages, "case_links", "page_id")
+    def build():
+        pages = frontier.with_page_links(_result_pages(spark, folder))
+        return frontier.explode_links(pages, "case_links", "page_id")
+
+    return staged(spark, folder, "links", build)
 
 
 def _case_links(spark, folder) -> DataFrame:
