@@ -17,13 +17,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind `value` to a name inside `body`, evaluated once per row.
 
     Referring to a derived array inside a lambda would otherwise re-evaluate it
-    for every array item.
+    for every array item.  A fold over nothing starts and ends with the value, and
+    unlike a one-item `transform` it does not copy it.
     """
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.aggregate(F.array().cast("array<int>"), value, lambda acc, _: acc, body)
 
 
-def split_at(items: Column, opens: Callable[[Column, Column, Column], Column]) -> Column:
-    """Cut an array into runs; a run starts at 0 and wherever `opens(item, i, items)` holds."""
+def map_runs(items: Column, opens: Callable[[Column, Column, Column], Column], body: Callable[[Column], Column]) -> Column:
+    """Cut an array into runs and apply `body` to each.
+
+    A run starts at 0 and wherever `opens(item, i, items)` holds.
+    """
 
     def cut(xs: Column) -> Column:
         marks = F.filter(
@@ -34,8 +38,8 @@ def split_at(items: Column, opens: Callable[[Column, Column, Column], Column]) -
             marks,
             lambda at: F.transform(
                 at,
-                lambda start, k: F.slice(
-                    xs, start + 1, F.coalesce(F.get(at, k + 1), F.size(xs)) - start
+                lambda start, k: let(
+                    F.slice(xs, start + 1, F.coalesce(F.get(at, k + 1), F.size(xs)) - start), body
                 ),
             ),
         )
@@ -45,12 +49,11 @@ def split_at(items: Column, opens: Callable[[Column, Column, Column], Column]) -
 
 def spread_first(items: Column, opens, stamp) -> Column:
     """Carry the item that opened a run over the run: `stamp(item, first_of_run)`."""
-    return F.flatten(
-        F.transform(
-            split_at(items, opens),
-            lambda run: let(F.get(run, F.lit(0)), lambda head: F.transform(run, lambda x: stamp(x, head))),
-        )
-    )
+
+    def stamped(run: Column) -> Column:
+        return let(F.get(run, F.lit(0)), lambda head: F.transform(run, lambda x: stamp(x, head)))
+
+    return F.flatten(map_runs(items, opens, stamped))
 
 
 def last_wins(pairs: Column) -> Column:
@@ -66,11 +69,9 @@ def last_wins(pairs: Column) -> Column:
                 lambda p, i: F.struct(p["label"].alias("label"), i.alias("at"), p["value"].alias("value")),
             )
         )
-        same_label = split_at(
-            indexed, lambda p, i, all_: ~p["label"].eqNullSafe(F.get(all_, i - 1)["label"])
-        )
-        firsts = F.transform(
-            same_label,
+        firsts = map_runs(
+            indexed,
+            lambda p, i, all_: ~p["label"].eqNullSafe(F.get(all_, i - 1)["label"]),
             lambda run: F.struct(
                 F.get(run, F.lit(0))["at"].alias("at"),
                 F.get(run, F.lit(0))["label"].alias("label"),

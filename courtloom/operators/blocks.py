@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtloom import vocab
-from courtloom.functions.arrays import last_wins, let, split_at, spread_first
+from courtloom.functions.arrays import last_wins, let, map_runs, spread_first
 from courtloom.functions.text import prompt_label
 from courtloom.functions.values import term_text
 
@@ -279,7 +279,7 @@ def blocks(live: Column) -> Column:
             ),
         )
 
-    return F.transform(split_at(live, lambda x, i, xs: x["role"] == "break"), block)
+    return map_runs(live, lambda x, i, xs: x["role"] == "break", block)
 
 
 def titled(page_blocks: Column) -> Column:

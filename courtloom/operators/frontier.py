@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtloom import vocab
+from courtloom.functions.arrays import let
 from courtloom.functions.text import format_mdy, url_case_id
 from courtloom.operators.joins import salted_join
 from courtloom.sources.elements import html_links
@@ -53,7 +54,7 @@ def links_in(links: Column, holder: str, holder_class: str | None = None) -> Col
         )
         return F.transform(held, lambda a: a["href"])
 
-    return F.element_at(F.transform(F.array(F.filter(links, holds)), inside), 1)
+    return let(F.filter(links, holds), inside)
 
 
 def with_page_links(pages: DataFrame, html: str = "html") -> DataFrame:
