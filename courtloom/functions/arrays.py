@@ -8,11 +8,27 @@ never meets another page that happens to carry the same id.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache, wraps
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """Keep the columns that `build` makes from plain arguments.
+
+    A column is an unresolved expression that any plan may use; a large one costs
+    seconds of calls into the JVM, which each stream batch would pay again.
+    """
+
+    @lru_cache(64)
+    def kept(_gateway: int, *args) -> Column:
+        return build(*args)
+
+    return wraps(build)(lambda *args: kept(id(SparkContext._gateway), *args))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind `value` to a name inside `body`, evaluated once per row.
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtloom import vocab
-from courtloom.functions.arrays import last_wins, let, map_runs, spread_first
+from courtloom.functions.arrays import built_once, last_wins, let, map_runs, spread_first
 from courtloom.functions.text import prompt_label
 from courtloom.functions.values import term_text
 
@@ -291,14 +291,29 @@ def titled(page_blocks: Column) -> Column:
     )
 
 
+@built_once
+def _stage(name: str, *flags) -> Column:
+    """The expression of a stage over the columns the stages before it leave."""
+    builders = {
+        "items": lambda: items(F.col("elements")),
+        "spans": lambda lossy_skips: spans(F.col("items"), lossy_skips),
+        "kept": lambda: keep_spans(F.col("spans")),
+        "live": lambda: live_items(F.col("items"), F.col("kept")),
+        "labelled": lambda: labelled(F.col("live")),
+        "blocks": lambda: blocks(F.col("live")),
+        "titled": lambda: titled(F.col("blocks")),
+    }
+    return builders[name](*flags)
+
+
 def with_spans(pages: DataFrame, lossy_skips: bool = False) -> DataFrame:
     """Adds `items`, all `spans` and the `kept` ones to pages that have `elements`."""
-    staged = pages.withColumn("items", items(F.col("elements"))).drop("elements")
-    return staged.withColumn("spans", spans(F.col("items"), lossy_skips)).withColumn("kept", keep_spans(F.col("spans")))
+    staged = pages.withColumn("items", _stage("items")).drop("elements")
+    return staged.withColumn("spans", _stage("spans", lossy_skips)).withColumn("kept", _stage("kept"))
 
 
 def with_blocks(pages: DataFrame, lossy_skips: bool = False) -> DataFrame:
     """Replaces `elements` by titled `blocks`; one narrow projection per stage."""
-    staged = with_spans(pages, lossy_skips).withColumn("live", live_items(F.col("items"), F.col("kept")))
-    staged = staged.drop("items", "spans", "kept").withColumn("live", labelled(F.col("live")))
-    return staged.withColumn("blocks", blocks(F.col("live"))).withColumn("blocks", titled(F.col("blocks"))).drop("live")
+    staged = with_spans(pages, lossy_skips).withColumn("live", _stage("live"))
+    staged = staged.drop("items", "spans", "kept").withColumn("live", _stage("labelled"))
+    return staged.withColumn("blocks", _stage("blocks")).withColumn("blocks", _stage("titled")).drop("live")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtloom import vocab
-from courtloom.functions.arrays import last_wins, let
+from courtloom.functions.arrays import built_once, last_wins, let
 from courtloom.functions.values import format_value
 from courtloom.operators.blocks import with_blocks
 from courtloom.sources.elements import html_elements
@@ -128,6 +128,11 @@ def page_entries(titled_blocks: Column, falsy_to_null: bool = True) -> Column:
     return let(built, lambda es: F.concat(F.filter(es, lambda e: ~e["moved"]), F.filter(es, lambda e: e["moved"])))
 
 
+@built_once
+def _block_entries(falsy_to_null: bool) -> Column:
+    return page_entries(F.col("blocks"), falsy_to_null)
+
+
 def parse_pages(raw: DataFrame, falsy_to_null: bool = True, lossy_skips: bool = False) -> DataFrame:
     """Raw pages to one parsed row per page; narrow, so nothing moves between executors.
 
@@ -141,7 +146,7 @@ def parse_pages(raw: DataFrame, falsy_to_null: bool = True, lossy_skips: bool =
         html_elements("html").alias("elements"),
     )
     titled_blocks = with_blocks(pages, lossy_skips)
-    parsed = titled_blocks.withColumn("entries", page_entries(F.col("blocks"), falsy_to_null))
+    parsed = titled_blocks.withColumn("entries", _block_entries(falsy_to_null))
     first_case = F.get(F.filter("entries", lambda e: e["table"] == "cases"), F.lit(0))
     case_id = F.try_element_at(first_case["attrs"], F.lit("case_id"))
     once = F.array(F.struct(case_id.alias("case_id"), F.col("entries").alias("entries")))

@@ -32,6 +32,7 @@ TOKEN = re.compile(
       (?P<attrs>(?:[\s/]++|[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>]*+))?|=)*+)>""",
     re.S | re.I | re.X,
 )
+ENDED = re.compile(r"-->\Z|^<[!?](?!--)|</(?:script|style)[^>]*>\Z", re.I)
 ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 
 
@@ -53,14 +54,18 @@ def page_elements(html: str, wanted: frozenset, classes_of=class_list, nested=Fa
     The text of an element is a run of the page's text chunks, so nesting costs nothing.
     """
     chunks, found, names, marks, silent, at = [], [], [], [], 0, 0
-    for token in TOKEN.finditer(html):
+    # No tag ends after the last bracket: looking no further keeps a page of unended tags linear.
+    limit = html.rfind(">") + 1
+    for token in TOKEN.finditer(html, 0, limit):
         start, end = token.span()
         if start > at and not silent:
             chunk = html[at:start]
             chunks.append(unescape(chunk) if "&" in chunk else chunk)
         at = end
-        _, closing, tag, attrs = token.groups()
+        raw, closing, tag, attrs = token.groups()
         if tag is None:
+            if end == limit and not ENDED.search(token.group()):
+                at = len(html)
             continue
         tag = tag.lower()
         if closing:

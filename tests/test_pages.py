@@ -203,6 +203,11 @@ def test_elements_nest_and_repeat_inner_text():
         ("<i>a<script>b</script>c</i>", [("i", None, (), "ac")]),
         ("<left><i>a</i></left>", [("i", "left", (), "a")]),
         ("1 < 2 <i>a</i>", [("i", None, (), "a")]),
+        ("<i>a<!-- b</i>", [("i", None, (), "a")]),
+        ("<i>a<!-- b> c", [("i", None, (), "a")]),
+        ("<i>a<script>b</i> c", [("i", None, (), "a")]),
+        ("<i>a<!DOCTYPE x> c", [("i", None, (), "a c")]),
+        ("<i>a</i", [("i", None, (), "a</i")]),
         ("", []),
     ],
 )
@@ -210,6 +215,11 @@ def test_elements_of_untidy_html(html, expected):
     assert elements(html) == expected
 
 
+def test_unended_tags_take_linear_time():
+    assert elements("<i>x" + "<a " * 200_000) == [("i", None, (), "x" + "<a " * 200_000)]
+    assert len(elements("<i " * 200_000 + ">")) == 1
+
+
 def test_spans_resolve_like_a_walk(spark):
     """Kept spans equal a sequential walk over random anchors."""
     import random
