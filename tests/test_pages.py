@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from courtloom.operators import blocks, load, normalize
-from courtloom.sources.elements import CASE_TAGS, html_elements, page_elements
+from courtloom.sources.elements import CASE_TAGS, page_elements
 
 
 def P(text):
