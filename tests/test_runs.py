@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from courtloom.operators import load, model, normalize
+from courtloom.operators import extract, load, model, normalize
 from courtloom.schemas import TABLES, table_schema
 from courtloom.session import work_path
 from courtloom.sources import files, tables
@@ -132,3 +132,18 @@ def test_parquet_readers(spark):
     path = work_path(spark, "pages")
     files.append(raw(spark, ("1", "a")), path)
     assert tables.raw_pages(spark, path).columns == ["case_id", "html"]
+
+
+def test_extract_scans_only_what_it_needs(spark):
+    out = work_path(spark, "pruned")
+    entries = load.load(normalize.parse_pages(raw(spark, ("1", page("A")))))
+    load.store_tables(load.stage_entries(entries, f"{out}/_staged"), out)
+    for table in ("parties", "attorneys"):
+        assert load.read_table(spark, out, table).count() == 0
+    stored = [load.read_table(spark, out, t) for t in ("cases", "parties", "charges")]
+    plan = extract.training_extract(*stored)._jdf.queryExecution().executedPlan().toString()
+    schemas = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
+    assert "struct<case_id:string,court_system:string,type:string,filing_date:date>" in "".join(schemas)
+    assert not any("jail_term_months" in s or "address" in s or "title" in s for s in schemas)
+    assert "IsNotNull(height)" in plan and "IsNotNull(filing_date)" in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
