@@ -37,18 +37,20 @@ def components(edges: DataFrame) -> DataFrame:
         mark = tuple(state)
 
 
-def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame, DataFrame], DataFrame], prepare: Callable[[DataFrame], DataFrame] = lambda ids: ids) -> DataFrame:
     """Components of all verified pairs among members of common buckets.
 
-    `buckets` has key and id; `verify` takes distinct pairs (a, b) and returns those that are links.  A bucket is not
+    `buckets` has key and id; `prepare` gets the ids that share a bucket, once, and
+    `verify` takes distinct pairs (a, b) and what was prepared and returns the pairs that are links.  A bucket is not
     expanded into all its pairs: a hub is compared with the other members and leaves the bucket, and pairs that are
     in one component by then are settled.  Once few enough pairs are open they are compared all at once, so the
     components are those of the full comparison, however large a bucket is.
     """
     multi = buckets.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub")
     members = durable(buckets.join(multi, "key").distinct(), "members")
+    known = prepare(members.select("id").distinct())
     pairs = durable(members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    edges = durable(verify(pairs), "links")
+    edges = durable(verify(pairs, known), "links")
     tried = pairs
     members = members.where("id <> hub").select("key", "id")
     while True:
@@ -73,7 +75,7 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
             last = False
         fresh = open_.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         fresh = durable(fresh, "pairs")
-        edges = edges.union(durable(verify(fresh), "links"))
+        edges = edges.union(durable(verify(fresh, known), "links"))
         if last:
             return components(edges)
         tried, members = tried.union(fresh), labelled.select("key", "id")

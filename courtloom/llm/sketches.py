@@ -236,7 +236,7 @@ def op3_setsketch(documents: DataFrame, percent: int = PERCENT, width: int = WID
     member = durable(usable.select("doc_id", "d1", "d2", "n_shingles").join(classes, ["d1", "d2", "n_shingles"]).select("doc_id", "class"), "classes")
     leads = durable(usable.join(member.where("doc_id = class").select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "regs", "bands"), "leads")
     buckets = leads.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
-    verify = lambda pairs: confirmed(durable(likely(pairs, leads, percent / 100 - SLACK), "likely"), documents, percent, width)
+    verify = lambda pairs, _: confirmed(durable(likely(pairs, leads, percent / 100 - SLACK), "likely"), documents, percent, width)
     found = link_buckets(buckets, verify)
     by_class = member.join(found.withColumnRenamed("id", "class"), "class", "left").select("doc_id", F.coalesce("component", "class").alias("c"))
     ids = by_class.groupBy("doc_id").agg(F.min("c").alias("c"))
