@@ -242,3 +242,12 @@ def op3_setsketch(documents: DataFrame, percent: int = PERCENT, width: int = WID
     ids = by_class.groupBy("doc_id").agg(F.min("c").alias("c"))
     component = F.coalesce("c", "doc_id")
     return sketches.join(ids, "doc_id", "left").select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def without_copies(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of every component, the one with the smallest doc_id; all columns stay.
+
+    Rows that repeat a doc_id are one document and stay together; rows without one stay.
+    """
+    gone = op3_setsketch(documents, percent).where("NOT kept").select(F.col("doc_id").alias("_doc")).distinct()
+    return documents.join(gone, F.col("doc_id").cast("long") == F.col("_doc"), "left_anti")
