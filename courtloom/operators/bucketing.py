@@ -11,6 +11,8 @@ from courtloom.operators.joins import lookup_join, salted_join
 from courtloom.session import durable
 
 GENERAL = "outcome courttype courtname casetype race sex height weight state zip".split()
+#: Stands for a missing date in the order of cases.
+NO_DATE = "9999-12-31"
 TOPICAL = "outcome casetype race sex height weight state zip".split()
 
 
@@ -33,22 +35,26 @@ def _before(window):
 def carry_court_type(rows: DataFrame, cell_digits: int = 2) -> DataFrame:
     """Adds `courttype`; a court without a type takes that of the case before it.
 
-    The order is filing date, then a cell from the digest of the case id, then the
-    id.  Rows reduce to one per case, so a heavy case counts once.  Values carry on
+    The order is filing date (cases without one come last), then a cell from the digest
+    of the case id, the id and the court.  Rows reduce to one per case, date and court,
+    so a heavy case counts once; every row of the input gives one row.  Values carry on
     three levels: inside a cell, over the cells of a day (at most 16^digits rows a
-    window), over the days of the calendar.  No window ever sees the whole data.
+    window), over the days of the calendar (one row a day).
     """
     kind = buckets.court_type_bucket(buckets.raw_court_type(F.col("court_system")))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    day = F.coalesce(F.col("filing_date"), F.lit(NO_DATE).cast("date"))
+    rows = rows.withColumn("_row", F.concat_ws("\u0001", text("case_id"), day.cast("string"), text("court_system")))
     cases = (
-        rows.select("case_id", "filing_date", kind.alias("kind"))
+        rows.select("_row", text("case_id").alias("case_id"), day.alias("filing_date"), text("court_system").alias("court"), kind.alias("kind"))
         .distinct()
         .withColumn("cell", F.left(F.md5("case_id"), F.lit(cell_digits)))
     )
     last = lambda column, window: F.last(column, ignorenulls=True).over(window)
-    in_cell = Window.partitionBy("filing_date", "cell").orderBy("case_id")
+    in_cell = Window.partitionBy("filing_date", "cell").orderBy("case_id", "court")
     known = F.col("kind").isNotNull()
     cells = cases.groupBy("filing_date", "cell").agg(
-        F.max_by("kind", F.when(known, F.col("case_id"))).alias("cell_last")
+        F.max_by("kind", F.when(known, F.struct("case_id", "court"))).alias("cell_last")
     )
     days = cells.groupBy("filing_date").agg(
         F.max_by("cell_last", F.when(F.col("cell_last").isNotNull(), F.col("cell"))).alias("day_last")
@@ -60,14 +66,14 @@ def carry_court_type(rows: DataFrame, cell_digits: int = 2) -> DataFrame:
     )
     running = last("kind", in_cell.rowsBetween(Window.unboundedPreceding, 0))
     filled = (
-        cases.select("case_id", "filing_date", "cell", running.alias("running"))
+        cases.select("_row", "filing_date", "cell", running.alias("running"))
         .join(carry, ["filing_date", "cell"])
         .select(
-            "case_id",
+            "_row",
             F.coalesce("running", "cell_carry", "day_carry", F.lit(vocab.UNKNOWN_COURT_TYPE)).alias("courttype"),
         )
     )
-    return salted_join(rows, filled, "case_id")
+    return salted_join(rows, filled, "_row").drop("_row")
 
 
 def labelled_rows(extract: DataFrame, types: DataFrame, comma_scrub_first: bool = False) -> DataFrame:
@@ -91,8 +97,10 @@ def labelled_rows(extract: DataFrame, types: DataFrame, comma_scrub_first: bool
     )
 
 
-def topical_rows(extract: DataFrame, types: DataFrame) -> DataFrame:
+def topical_rows(extract: DataFrame, types: DataFrame, comma_scrub_first: bool = False) -> DataFrame:
     """As `labelled_rows` without the court columns, which topical sets do not use."""
+    if comma_scrub_first:
+        extract = extract.withColumns({c: buckets.scrub_commas(F.col(c)) for c in "disposition type race sex state zip".split()})
     return case_type_bucket(extract, types).withColumns(
         {
             "outcome": buckets.outcome(F.col("disposition")),

@@ -82,6 +82,11 @@ def with_case_id(links: DataFrame, url: str = "href") -> DataFrame:
     return links.withColumn("case_id", url_case_id(F.col(url))).where("case_id is not null")
 
 
+def without_case_id(links: DataFrame, url: str = "href") -> DataFrame:
+    """Links that name no case, as rejects."""
+    return links.where(url_case_id(F.col(url)).isNull()).withColumn("reason", F.lit("no case id"))
+
+
 def unseen(links: DataFrame, stored: DataFrame) -> DataFrame:
     """Links whose case is not stored yet. Pass links that are written out: their ids are read twice."""
     return salted_join(links, stored.select("case_id"), "case_id", "left_anti")

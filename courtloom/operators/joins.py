@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 from courtloom.session import durable
 
 HEAVY_ROWS = 1_000_000
-HEAVY_KEYS = 1_000
 LOOKUP_ROWS = 100_000
 
 
 def heavy_keys(df: DataFrame, key: str, rows: int = HEAVY_ROWS) -> DataFrame:
-    """The heaviest keys of a frame, at most `HEAVY_KEYS`; counts combine before the shuffle.
+    """Keys with more than `rows` rows; counts combine before the shuffle.
 
-    The list only steers salting: a key it leaves out is joined all the same.
+    There are fewer of them than rows of the frame divided by `rows`.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    return counts.where(F.col("n") > rows).orderBy(F.desc("n"), key).limit(HEAVY_KEYS).select(key)
+    return counts.where(F.col("n") > rows).select(key)
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", rows: int = HEAVY_ROWS, salts: int = 64) -> DataFrame:
@@ -32,7 +31,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     `how` may be inner, left, left_semi or left_anti.  The key column of `left` is
     read twice, so a `left` that is costly to compute should be written first.
     """
-    heavy = F.broadcast(heavy_keys(left, key, rows).withColumn("_heavy", F.lit(True)))
+    heavy = heavy_keys(left, key, rows).withColumn("_heavy", F.lit(True))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     mark = lambda df: df.join(heavy, key, "left")
     spread = mark(left).withColumn(

@@ -91,9 +91,19 @@ def value_rejects(entries: DataFrame) -> DataFrame:
     )
 
 
-def raw_after_rejects(raw: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Raw store without rejected pages, matched by raw id."""
-    return raw.join(rejects.select(F.col("raw_case_id").alias("case_id")), "case_id", "left_anti")
+def raw_after_rejects(raw: DataFrame, parsed: DataFrame, cases: DataFrame | None = None) -> DataFrame:
+    """Raw store without rejected pages, matched by raw id and content; of exact copies of a page one stays.
+
+    Only the winners' pages that occur more than once are brought together to drop their copies.
+    """
+    kept = winners(parsed, cases).select("raw_case_id", "page_hash")
+    counted = parsed.groupBy("raw_case_id", "page_hash").agg(F.count("*").alias("copies"))
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    kept = kept.alias("k").join(counted.alias("n"), same("k.raw_case_id", "n.raw_case_id") & same("k.page_hash", "n.page_hash"))
+    kept = kept.select(F.col("k.raw_case_id").alias("_raw"), F.col("k.page_hash").alias("_page"), "copies")
+    pages = raw.withColumn("_hash", F.xxhash64("html"))
+    chosen = lambda which: pages.join(kept.where(which), same("case_id", "_raw") & same("_hash", "_page"), "left_semi")
+    return chosen("copies = 1").unionByName(chosen("copies > 1").dropDuplicates(["case_id", "_hash"])).drop("_hash")
 
 
 def _stored(name: str) -> list[Column]:
@@ -142,9 +152,28 @@ def eight_tables(entries: DataFrame) -> dict[str, DataFrame]:
     return {t: to_table(entries, t) for t in TABLES}
 
 
+def _case_number(entries: Column) -> Column:
+    """Number (from 1) of the first case entry of a page."""
+    return F.array_position(F.transform(entries, lambda e: e["table"]), "cases")
+
+
 def load(parsed: DataFrame, cases: DataFrame | None = None) -> DataFrame:
-    """Entries to store: pages resolved to one per new case, then exploded."""
-    return explode_entries(winners(parsed, cases))
+    """Entries to store: pages resolved to one per new case, then exploded.
+
+    The first case entry of a page is the row of its case, so `cases` is unique by id.
+    """
+    best = winners(parsed, cases)
+    first = _case_number(F.col("entries"))
+    single = F.filter("entries", lambda e, i: (e["table"] != "cases") | (i + 1 == first))
+    return explode_entries(best.withColumn("entries", single))
+
+
+def extra_case_rejects(parsed: DataFrame, cases: DataFrame | None = None) -> DataFrame:
+    """Case entries behind the first one of a stored page."""
+    best = winners(parsed, cases).withColumn("_first", _case_number(F.col("entries")))
+    rows = best.select("raw_case_id", "case_id", "_first", F.posexplode("entries").alias("entry_no", "entry"))
+    extra = rows.where("entry.table = 'cases' AND entry_no + 1 > _first")
+    return extra.select("raw_case_id", "case_id", F.lit("second case block").alias("reason"), "entry_no")
 
 
 def stage_entries(entries: DataFrame, path: str) -> DataFrame:

@@ -149,6 +149,7 @@ def parse_pages(raw: DataFrame, falsy_to_null: bool = True, lossy_skips: bool =
     parsed = titled_blocks.withColumn("entries", _block_entries(falsy_to_null))
     first_case = F.get(F.filter("entries", lambda e: e["table"] == "cases"), F.lit(0))
     case_id = F.try_element_at(first_case["attrs"], F.lit("case_id"))
+    case_id = F.when(F.trim(case_id) != "", case_id)  # a blank number names no case
     once = F.array(F.struct(case_id.alias("case_id"), F.col("entries").alias("entries")))
     return parsed.select("raw_case_id", "page_hash", F.inline_outer(once))
 

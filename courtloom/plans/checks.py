@@ -36,7 +36,7 @@ def _with(names: str, body: str) -> str:
         WHEN i % 7 = 6 THEN 'detail.jis?case' WHEN k % 7 = 6 THEN 'detail.jis?case-' ELSE 'detail.jis?caseId=' END
         || CAST((k * 37 + i) % 15013 AS varchar) || '&loc=2' AS href, i AS pos,
         CASE WHEN i % 4 = 3 OR i % 7 = 6 OR k % 7 = 6 THEN NULL ELSE CAST((k * 37 + i) % 15013 AS varchar) END AS case_id
-      FROM (SELECT page_id, page_id AS k, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8]) AS i FROM pages) WHERE i < k % 9"""
+      FROM (SELECT page_id, page_id AS k, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8]) AS i FROM pages) WHERE i < k % 9 AND k % 10 <> 4"""
     ctes["families"] = """SELECT family, rank FROM (VALUES ('criminal', 1), ('civil', 2), ('civil citation', 3), ('traffic', 4)) f(family, rank)"""
     ctes["types"] = """SELECT DISTINCT family, type, rank FROM docket_cases JOIN families ON contains(lower(court_system), family)
       AND NOT (family = 'civil' AND contains(lower(court_system), 'civil citation')) WHERE nullif(type, '') IS NOT NULL"""
@@ -400,7 +400,7 @@ CHECKS["frontier_seen"] = _with(
     "SELECT page_id, pos, case_id FROM result_links WHERE case_id IN (SELECT CAST(l_orderkey AS varchar) FROM lineitem)",
 )
 CHECKS["pagination_links"] = """SELECT page_id, '/results?page=' || CAST(i AS varchar) AS href FROM pages
-CROSS JOIN (SELECT unnest([0, 1, 2]) AS i) WHERE page_id % 3 <> 2 AND page_id % 9 > 0"""
+CROSS JOIN (SELECT unnest([0, 1, 2]) AS i) WHERE page_id % 3 <> 2 AND page_id % 9 > 0 AND page_id % 10 <> 4"""
 CHECKS["retry_queue"] = "SELECT page_id, 503 AS status FROM pages WHERE page_id % 10 = 4"
 CHECKS["web_elements"] = r"""SELECT page_id, tag, parent, CAST(n AS bigint) AS n_elements FROM (
 SELECT page_id, 'a' AS tag, 'li' AS parent, len(regexp_extract_all(html, '<a\s')) AS n FROM pages
@@ -456,8 +456,8 @@ CHECKS["court_split"] = _with(
 CHECKS["court_type_bucket"] = _with("docket_cases kinds", "SELECT case_id, kind AS courttype FROM kinds")
 CHECKS["court_type_ffill"] = _with(
     "docket_cases kinds",
-    """SELECT case_id, coalesce(last_value(kind IGNORE NULLS) OVER (ORDER BY filing_date, substr(md5(case_id), 1, 2), case_id
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'courttype') AS courttype FROM kinds WHERE filing_date IS NOT NULL""",
+    """SELECT case_id, coalesce(last_value(kind IGNORE NULLS) OVER (ORDER BY filing_date NULLS LAST, substr(md5(case_id), 1, 2), case_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'courttype') AS courttype FROM kinds""",
 )
 CHECKS["case_type_bucket"] = _with(
     f"{TYPED} type_bucket",

@@ -113,7 +113,7 @@ def _result_pages(spark, folder) -> DataFrame:
 
 def _links(spark, folder) -> DataFrame:
     def build():
-        pages = frontier.with_page_links(_result_pages(spark, folder))
+        pages = frontier.with_page_links(frontier.answered(_result_pages(spark, folder)))
         return frontier.explode_links(pages, "case_links", "page_id")
 
     return staged(spark, folder, "links", build)
@@ -226,7 +226,7 @@ def frontier_seen(spark, folder):
 
 @query
 def pagination_links(spark, folder):
-    pages = frontier.with_page_links(_result_pages(spark, folder))
+    pages = frontier.with_page_links(frontier.answered(_result_pages(spark, folder)))
     return frontier.pagination(pages, "page_id")
 
 
@@ -475,11 +475,7 @@ def value_rejects(spark, folder):
 
 @query
 def raw_after_rejects(spark, folder):
-    parsed = _parsed(spark, folder)
-    rejects = load.nonsense_rejects(parsed).select("raw_case_id").unionByName(
-        load.duplicate_rejects(parsed).select("raw_case_id")
-    )
-    return load.raw_after_rejects(_raw(spark, folder), rejects).select("case_id")
+    return load.raw_after_rejects(_raw(spark, folder), _parsed(spark, folder)).select("case_id")
 
 
 @query
@@ -551,7 +547,7 @@ def court_type_bucket(spark, folder):
 
 @query
 def court_type_ffill(spark, folder):
-    cases = demo.view(spark, folder, "docket_cases").where("filing_date is not null")
+    cases = demo.view(spark, folder, "docket_cases")
     return bucketing.carry_court_type(cases).select("case_id", "courttype")
 
 

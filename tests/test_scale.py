@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from courtloom.operators import bucketing, extract, joins, load
+from courtloom.operators import bucketing, extract, joins, load, normalize
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -115,3 +115,24 @@ def test_extract_joins_fan_out_and_filter(spark):
     topic = extract.training_extract(cases, parties, charges, topic="oyster").collect()
     assert len(topic) == 2 and {r.city for r in topic} == {"Bel AIR"}
     assert topic[0].asDict().keys() == dict.fromkeys(extract.EXTRACT_COLUMNS).keys()
+
+
+def test_carry_keeps_every_row(spark):
+    data = [("1", None, "A - Criminal"), ("1", None, "B"), (None, datetime.date(2020, 1, 1), "C - Traffic System"), ("2", datetime.date(2020, 1, 1), None)]
+    rows = bucketing.carry_court_type(spark.createDataFrame(data, "case_id string, filing_date date, court_system string")).collect()
+    found = {(r.case_id, r.court_system): r.courttype for r in rows}
+    assert len(rows) == len(data)
+    assert found == {("1", "A - Criminal"): "criminal", ("1", "B"): "criminal", (None, "C - Traffic System"): "traffic", ("2", None): "courttype"}
+
+
+def test_load_keeps_winners_and_single_cases(spark):
+    page = lambda number, more="": f'<h5>Case Information</h5><span class="Prompt">Case Number:</span><span class="Value">{number}</span>{more}'
+    twice = page("C2", "<hr>" + page("C9"))
+    pages = [("1", page("C1")), ("1", page("C1", "<hr>")), ("2", page("C1")), ("3", page(" ")), ("4", twice), ("4", twice)]
+    raw = spark.createDataFrame(pages, "case_id string, html string")
+    parsed = normalize.parse_pages(raw)
+    assert sorted(r.case_id for r in load.raw_after_rejects(raw, parsed).collect()) == ["1", "4"]
+    assert load.nonsense_rejects(parsed).count() == 1
+    stored = load.to_table(load.load(parsed), "cases").collect()
+    assert sorted(r.case_id for r in stored) == ["C1", "C2"]
+    assert load.extra_case_rejects(parsed).count() == 1
