@@ -299,7 +299,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> byte
         model = train([t or "" for t in rows_["text"]], rows_["label"].astype(int).tolist())
         yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
-    return bytes(sample.repartition(1).mapInPandas(run, "model binary").first()["model"])
+    fitted = sample.repartition(1).mapInPandas(run, "model binary").first()  # no task runs over an empty table
+    return bytes(fitted["model"]) if fitted else pickle.dumps(train([], []))
 
 
 def score(documents: DataFrame, model: bytes) -> DataFrame:
