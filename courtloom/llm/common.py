@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtloom.functions.arrays import let
+
 #: Characters that part words: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = "\\x20\\x09-\\x0D"
 BATCH_BYTES = 16 << 20
@@ -33,3 +35,16 @@ def lower_ascii(text: Column) -> Column:
 def tasks_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:
     """Number of groups that keeps a group near `rows_per_task` rows, however many rows there are."""
     return max(1, -(-rows // rows_per_task))
+
+
+def alike(a: Column, b: Column, percent: int, least_union: int = 0) -> Column:
+    """Whether 100 * intersection >= percent * union of two sets; always true for unions below `least_union`.
+
+    Both sets and their intersection are bound, since a filter would compute them anew for every mention.
+    """
+
+    def decide(s: Column) -> Column:
+        shared = F.size(F.array_intersect(s["a"], s["b"]))
+        return let(shared, lambda c: let(F.size(s["a"]) + F.size(s["b"]) - c, lambda u: (u < least_union) | (100 * c >= percent * u)))
+
+    return let(F.struct(a.alias("a"), b.alias("b")), decide)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtloom.llm.common import byte_batches
+from courtloom.llm.common import alike, byte_batches
 from courtloom.llm.components import link_buckets
 from courtloom.session import durable
 
@@ -219,8 +219,7 @@ def confirmed(pairs: DataFrame, documents: DataFrame, percent: int, width: int)
     named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = durable(shingle_sets(documents.join(named, "doc_id", "left_semi"), width), "sets")
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("s").alias(f"s{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return both.where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b").distinct()
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(alike(F.col("sa"), F.col("sb"), percent)).select("a", "b").distinct()
 
 
 def op3_setsketch(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
