@@ -69,24 +69,28 @@ def duplicate_rejects(parsed: DataFrame, cases: DataFrame | None = None) -> Data
     )
 
 
-def value_rejects(entries: DataFrame) -> DataFrame:
-    """Values that a rule could not read and therefore left NULL, or that no page text backed."""
-    pair = F.explode(
-        F.transform(
-            F.map_entries("raw"),
-            lambda p: F.struct(
-                p["key"].alias("attribute"),
-                p["value"].alias("value"),
-                F.try_element_at("attrs", p["key"]).alias("read"),
-            ),
-        )
-    )
-    unread = F.col("p.read").isNull() & (
-        F.col("p.value").isNull() | ~(F.col("p.attribute").isin(*FLAG_COLUMNS) | (F.col("p.attribute") == "injuries"))
+def _untyped(attribute: Column, text: Column) -> Column:
+    """Whether a text that is there gives a NULL in the typed column of its attribute."""
+    typed = (
+        F.when(attribute.isin(*DATE_COLUMNS), values.docket_date(text).isNotNull())
+        .when(attribute.isin(*INT_COLUMNS), F.trim(text).try_cast("int").isNotNull())
+        .when(attribute.isin(*MONEY_COLUMNS), values.amount(text).isNotNull())
+        .when(attribute.isin(*TERM_COLUMNS), F.coalesce(values.term_months(text), values.term_days(text), values.term_hours(text)).isNotNull())
     )
+    return (text != "") & ~F.coalesce(typed, ~attribute.isin(*DATE_COLUMNS, *INT_COLUMNS, *MONEY_COLUMNS, *TERM_COLUMNS))
+
+
+def value_rejects(entries: DataFrame) -> DataFrame:
+    """Values that a rule could not read or a typed column cannot hold, so they are NULL, or that no page text backed."""
+    item = lambda key, value, read, by_rule: F.struct(key.alias("attribute"), value.alias("value"), read.alias("read"), F.lit(by_rule).alias("ruled"))
+    ruled = F.transform(F.map_entries("raw"), lambda p: item(p["key"], p["value"], F.try_element_at("attrs", p["key"]), True))
+    others = F.filter(F.map_entries("attrs"), lambda p: ~F.map_contains_key("raw", p["key"]))
+    plain = F.transform(others, lambda p: item(p["key"], p["value"], p["value"], False))
+    silent = F.col("p.attribute").isin(*FLAG_COLUMNS) | (F.col("p.attribute") == "injuries")
+    unread = F.col("p.ruled") & F.col("p.read").isNull() & (F.col("p.value").isNull() | ~silent)
     return (
-        entries.select("raw_case_id", "case_id", "table", "entry_no", pair.alias("p"))
-        .where(unread)
+        entries.select("raw_case_id", "case_id", "table", "entry_no", F.explode(F.concat(ruled, plain)).alias("p"))
+        .where(unread | F.coalesce(_untyped(F.col("p.attribute"), F.col("p.read")), F.lit(False)))
         .select("raw_case_id", "case_id", "table", "entry_no", "p.attribute", "p.value")
     )
 

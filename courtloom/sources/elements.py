@@ -54,6 +54,7 @@ def page_elements(html: str, wanted: frozenset, classes_of=class_list, nested=Fa
     The text of an element is a run of the page's text chunks, so nesting costs nothing.
     """
     chunks, found, names, marks, silent, at = [], [], [], [], 0, 0
+    still_open: dict[str, int] = {}
     # No tag ends after the last bracket: looking no further keeps a page of unended tags linear.
     limit = html.rfind(">") + 1
     for token in TOKEN.finditer(html, 0, limit):
@@ -69,10 +70,11 @@ def page_elements(html: str, wanted: frozenset, classes_of=class_list, nested=Fa
             continue
         tag = tag.lower()
         if closing:
-            if tag in names:
+            if still_open.get(tag):
                 name = None
                 while name != tag:
                     name, mark = names.pop(), marks.pop()
+                    still_open[name] -= 1
                     if mark is not None:
                         found[mark][4:] = len(chunks), len(found)
                     elif name in SILENT:
@@ -86,6 +88,7 @@ def page_elements(html: str, wanted: frozenset, classes_of=class_list, nested=Fa
         if tag not in VOID and attrs[-1:] != "/":
             names.append(tag)
             marks.append(mark)
+            still_open[tag] = still_open.get(tag, 0) + 1
             if mark is None and tag in SILENT:
                 silent += 1
     if at < len(html) and not silent:

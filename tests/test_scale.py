@@ -136,3 +136,25 @@ def test_load_keeps_winners_and_single_cases(spark):
     stored = load.to_table(load.load(parsed), "cases").collect()
     assert sorted(r.case_id for r in stored) == ["C1", "C2"]
     assert load.extra_case_rejects(parsed).count() == 1
+
+
+def test_values_that_no_typed_column_holds_are_listed(spark):
+    attrs = {"weight": "180 lbs", "dob": "13/45/2016", "height": "70", "name": "n/a", "zip": ""}
+    entry = ("1", "1", "parties", 0, {"dob": "13/45/2016", "height": "5'10"}, attrs)
+    entries = spark.createDataFrame([entry], "raw_case_id string, case_id string, `table` string, entry_no int, raw map<string,string>, attrs map<string,string>")
+    found = {(r.attribute, r.value) for r in load.value_rejects(entries).collect()}
+    assert found == {("weight", "180 lbs"), ("dob", "13/45/2016")}
+
+
+def test_unclosed_tags_stay_linear():
+    from time import perf_counter
+
+    from courtloom.sources import elements
+
+    def took(n):
+        start = perf_counter()
+        elements.page_elements("<b>" * n + "</i>" * n, frozenset({"b"}))
+        return perf_counter() - start
+
+    took(2_000)
+    assert took(40_000) < 10 * max(took(10_000), 0.01)
