@@ -11,6 +11,8 @@ from courtloom.session import durable
 
 #: Comparisons per bucket row up to which all open pairs of all buckets are compared at once.
 PAIRS_PER_ROW = 20
+#: How many times as many hubs a bucket gets in a round as in the round before.
+MORE_HUBS = 8
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,10 +22,11 @@ def components(edges: DataFrame) -> DataFrame:
     shuffles of edges, keeps at most as many edges as there were, and is written before the next one reads it.
     """
     edges = durable(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    mark = None if edges.head(1) else (0, None)
+    state = lambda: tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    mark = state()
+    if not mark[0]:
+        return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     while True:
-        if mark == (0, None):
-            return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -31,10 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a")
         small = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
         edges = durable(small.where("a <> b").distinct(), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(state) == mark:
+        before, mark = mark, state()
+        if mark == before:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
-        mark = tuple(state)
 
 
 def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame, DataFrame], DataFrame], prepare: Callable[[DataFrame], DataFrame] = lambda ids: ids) -> DataFrame:
@@ -42,19 +44,21 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame, DataFrame], Da
 
     `buckets` has key and id; `prepare` gets the ids that share a bucket, once, and
     `verify` takes distinct pairs (a, b) and what was prepared and returns the pairs that are links.  A bucket is not
-    expanded into all its pairs: a hub is compared with the other members and leaves the bucket, and pairs that are
-    in one component by then are settled.  Once few enough pairs are open they are compared all at once, so the
-    components are those of the full comparison, however large a bucket is.
+    expanded into all its pairs: hubs are compared with the other members and leave the bucket, and pairs that are
+    in one component by then are settled.  A bucket has one hub at first and `MORE_HUBS` times as many in each
+    further round, so rounds grow with the logarithm of its size even where no member is linked with another.  Once
+    few enough pairs are open they are compared all at once, so the components are those of the full comparison,
+    however large a bucket is.
     """
     multi = buckets.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub")
     members = durable(buckets.join(multi, "key").distinct(), "members")
     known = prepare(members.select("id").distinct())
     pairs = durable(members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    edges = durable(verify(pairs, known), "links")
+    found = components(durable(verify(pairs, known), "links"))
     tried = pairs
     members = members.where("id <> hub").select("key", "id")
+    hubs_each = 1
     while True:
-        found = components(edges)
         labelled = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
         sizes = labelled.groupBy("key", "c").agg(F.count("*").alias("n"))
         main = sizes.groupBy("key").agg(F.max(F.struct("n", "c"))["c"].alias("main"), F.count("*").alias("groups"), F.sum("n").alias("rows")).where("groups > 1")
@@ -69,13 +73,17 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame, DataFrame], Da
             open_ = left.join(right, "key").where("c <> d AND (d = main OR a < b)")
             last = True
         else:
-            hubs = others.groupBy("key").agg(F.min("id").alias("a"), F.min_by("c", "id").alias("h"))
+            hubs_each *= MORE_HUBS
+            dealt = others.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(hubs_each)).alias("part"))
+            hubs = dealt.agg(F.min("id").alias("a"), F.min_by("c", "id").alias("h")).drop("part")
             open_ = labelled.join(hubs, "key").where("c <> h").withColumnRenamed("id", "b")
             labelled = labelled.join(hubs.select("key", F.col("a").alias("id")), ["key", "id"], "left_anti")
             last = False
         fresh = open_.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         fresh = durable(fresh, "pairs")
-        edges = edges.union(durable(verify(fresh, known), "links"))
+        links = durable(verify(fresh, known), "links")
+        if links.head(1):
+            found = components(found.toDF("a", "b").union(links))
         if last:
-            return components(edges)
+            return found
         tried, members = tried.union(fresh), labelled.select("key", "id")
