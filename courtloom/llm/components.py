@@ -39,7 +39,13 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
 
 
-def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame, DataFrame], DataFrame], prepare: Callable[[DataFrame], DataFrame] = lambda ids: ids) -> DataFrame:
+def link_buckets(
+    buckets: DataFrame,
+    verify: Callable[[DataFrame, DataFrame], DataFrame],
+    prepare: Callable[[DataFrame], DataFrame] = lambda ids: ids,
+    refine: Callable[[DataFrame], DataFrame] | None = None,
+    fits: str = "true",
+) -> DataFrame:
     """Components of all verified pairs among members of common buckets.
 
     `buckets` has key and id; `prepare` gets the ids that share a bucket, once, and
@@ -49,6 +55,10 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame, DataFrame], Da
     further round, so rounds grow with the logarithm of its size even where no member is linked with another.  Once
     few enough pairs are open they are compared all at once, so the components are those of the full comparison,
     however large a bucket is.
+
+    Where too many pairs are open after the first round, `refine` may give the open ids new buckets (key, id, place,
+    size) in which all their links meet; pairs for which the condition `fits` on both sides' place and size (pa, sa,
+    pb, sb) fails are no links, and the rest is compared at once.
     """
     multi = buckets.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub")
     members = durable(buckets.join(multi, "key").distinct(), "members")
@@ -57,17 +67,26 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame, DataFrame], Da
     found = components(durable(verify(pairs, known), "links"))
     tried = pairs
     members = members.where("id <> hub").select("key", "id")
-    hubs_each = 1
+    hubs_each, refined = 1, False
     while True:
-        labelled = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+        labelled = members.join(found, "id", "left").select(*members.columns, F.coalesce("component", "id").alias("c"))
         sizes = labelled.groupBy("key", "c").agg(F.count("*").alias("n"))
         main = sizes.groupBy("key").agg(F.max(F.struct("n", "c"))["c"].alias("main"), F.count("*").alias("groups"), F.sum("n").alias("rows")).where("groups > 1")
         labelled = durable(labelled.join(main, "key"), "open")
         cost = labelled.agg(F.sum(F.when(F.col("c") != F.col("main"), F.col("rows"))), F.count("*")).first()
         if not cost[1]:
             return found
+        few = cost[0] <= PAIRS_PER_ROW * cost[1]
+        if refine and not refined and not few:
+            members, refined = durable(refine(labelled.select("id").distinct()), "refined"), True
+            continue
         others = labelled.where("c <> main")
-        if cost[0] <= PAIRS_PER_ROW * cost[1]:
+        if refined:
+            right = labelled.select("key", F.col("id").alias("b"), F.col("c").alias("d"), "main", F.col("place").alias("pb"), F.col("size").alias("sb"))
+            left = others.select("key", F.col("id").alias("a"), "c", F.col("place").alias("pa"), F.col("size").alias("sa"))
+            open_ = left.join(right, "key").where(f"c <> d AND (d = main OR a < b) AND {fits}")
+            last = True
+        elif few:
             right = labelled.select("key", F.col("id").alias("b"), F.col("c").alias("d"), "main")
             left = others.select("key", F.col("id").alias("a"), "c")
             open_ = left.join(right, "key").where("c <> d AND (d = main OR a < b)")

@@ -222,6 +222,25 @@ def confirmed(pairs: DataFrame, documents: DataFrame, percent: int, width: int)
     return pairs.join(side("a"), "a").join(side("b"), "b").where(alike(F.col("sa"), F.col("sb"), percent)).select("a", "b").distinct()
 
 
+def rare_buckets(ids: DataFrame, documents: DataFrame, percent: int, width: int) -> DataFrame:
+    """(key, id, place, size): the rarest shingles of each document as buckets, in which all links among `ids` meet.
+
+    Shingles are ordered by the number of these documents that have them.  Two sets at the threshold differ in so few
+    shingles that the first `size - ceil(percent * size / 100) + 1` of both have one in common; `place` counts the
+    shingles before it.  Shingles of one document only come first and fill these places, so documents that share a
+    long passage, but also differ in many shingles, meet in no bucket.
+    """
+    sets = durable(shingle_sets(documents.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), width).distinct(), "open-sets")
+    items = sets.select("doc_id", F.size("s").alias("size"), F.explode("s").alias("x"))
+    common = items.groupBy("x").agg(F.count("*").alias("n")).where("n > 1")
+    # The array of a document is no longer than its text.
+    ordered = items.join(common, "x").groupBy("doc_id", "size").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("m"))
+    own = ordered.withColumn("own", F.col("size") - F.size("m"))
+    places = own.select(F.col("doc_id").alias("id"), "size", "own", F.posexplode("m").alias("k", "item"))
+    early = F.col("size") - F.expr(f"({percent} * size + 99) div 100")
+    return places.withColumn("place", F.col("own") + F.col("k")).where(F.col("place") <= early).select(F.col("item.x").alias("key"), "id", "place", "size")
+
+
 def op3_setsketch(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept.
 
@@ -236,7 +255,9 @@ def op3_setsketch(documents: DataFrame, percent: int = PERCENT, width: int = WID
     leads = durable(usable.join(member.where("doc_id = class").select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "regs", "bands"), "leads")
     buckets = leads.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
     verify = lambda pairs, _: confirmed(durable(likely(pairs, leads, percent / 100 - SLACK), "likely"), documents, percent, width)
-    found = link_buckets(buckets, verify)
+    refine = lambda ids: rare_buckets(ids, documents, percent, width)
+    fits = f"least(sa - pa, sb - pb) * {100 + percent} >= {percent} * (sa + sb)"
+    found = link_buckets(buckets, verify, refine=refine, fits=fits)
     by_class = member.join(found.withColumnRenamed("id", "class"), "class", "left").select("doc_id", F.coalesce("component", "class").alias("c"))
     ids = by_class.groupBy("doc_id").agg(F.min("c").alias("c"))
     component = F.coalesce("c", "doc_id")
