@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from courtloom.llm import html, language_model, lines, packing, quality, sharding, sketches, templates, toxicity, warc
+from courtloom.llm import components, html, language_model, lines, packing, quality, sharding, sketches, templates, toxicity, warc
 
 SAMPLES = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -134,6 +134,19 @@ def test_near_copies_match_all_pairs(spark, docs, odd, texts):
     assert sketches.op3_setsketch(odd.limit(0)).count() == 0
 
 
+def test_rare_buckets_find_the_links_of_a_shared_passage(spark, monkeypatch):
+    monkeypatch.setattr(components, "PAIRS_PER_ROW", -1)
+    passage = [f"p{i}" for i in range(150)]
+    texts = {i: passage.copy() for i in range(60)}
+    for i, words in texts.items():
+        for j in range(i % 12):
+            words[(i * 7 + j * 11) % 150] = f"own{i if i % 5 else 0}x{j}"
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in texts.items()}
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in sketches.op3_setsketch(frame).collect()}
+    assert got == roots(similar(sets, 85), sets)
+
+
 def test_registers_are_mergeable_and_estimate_similarity():
     rng = np.random.default_rng(1)
     a, b, c = (rng.integers(0, 1 << 63, n, np.uint64) for n in (300, 300, 600))
