@@ -175,6 +175,38 @@ def test_language_model_base_is_exact_and_model_is_a_distribution(docs, odd, tex
     assert language_model.op4_pitman_yor(odd.limit(0)).count() == 0
 
 
+def test_rare_words_have_contexts(spark):
+    train = [f"a{i} b{i} z" for i in range(6000)] * 3
+    rows = [(7_000_000 + i, t) for i, t in enumerate(train)]
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2] + list(zip(held, ["a9 b9 z", "a9 b4009 z", "a9 never z"]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r.doc_id: r.score for r in language_model.op4_pitman_yor(frame).where("held_out").collect()}
+    seen, other, unknown = (score[k] for k in held)
+    assert seen > other + 2 and other > unknown
+
+
+def test_model_does_not_depend_on_chunks(docs, odd, monkeypatch):
+    key = lambda r: (r.doc_id or -1, r.n_tokens, r.score)
+    frame = docs.select("doc_id", "text").union(odd.select("doc_id", "text"))
+    want = sorted(map(key, language_model.op4_pitman_yor(frame).collect()))
+    monkeypatch.setattr(language_model, "CHUNK_TOKENS", 2000)
+    monkeypatch.setattr(language_model, "BUCKET_BYTES", 20_000)
+    got = sorted(map(key, language_model.op4_pitman_yor(frame).collect()))
+    assert [g[:2] for g in got] == [w[:2] for w in want] and np.allclose([g[2] for g in got], [w[2] for w in want])
+
+
+def test_drawn_numbers_are_binomial():
+    rng = np.random.default_rng(4)
+    got = language_model.drawn(np.full(40_000, 90), np.full(40_000, 0.1), rng.random(40_000))
+    assert abs(got.mean() - 9) < 0.1 and abs(got.var() - 8.1) < 0.3
+
+
+def test_packed_columns_come_back():
+    columns = [np.array([5, -3, 1 << 62, 0]), np.arange(4)]
+    assert all((a == b).all() for a, b in zip(columns, language_model.unpacked(language_model.packed(*columns), 2)))
+
+
 def test_context_restaurants_sum_to_one():
     import pandas as pd
 
