@@ -363,6 +363,23 @@ def test_lines_match_all_pairs(docs, odd, texts):
     assert lines.op9_fuzzy_lines(odd.limit(0)).count() == 0
 
 
+def test_short_lines_with_edits_meet(spark):
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    pairs = []
+    while len(pairs) < 600:
+        line = " ".join("".join(rng.choice(letters, rng.integers(4, 9))) for _ in range(rng.integers(6, 10)))
+        line = line if len(pairs) % 3 else line.replace(" ", "-")  # one word
+        at = rng.integers(0, len(line), rng.integers(1, 4))
+        other = "".join("9" if i in at else x for i, x in enumerate(line))
+        a, b = ({x[i : i + 5] for i in range(len(x) - 4)} for x in (line, other))
+        if 100 * len(a & b) >= 80 * len(a | b):
+            pairs.append((line, other))
+    frame = spark.createDataFrame([(i, "\n".join(p[side] for p in pairs)) for i, side in ((1, 0), (2, 1))], "doc_id long, text string")
+    found = {r.line: r.component for r in lines.op9_fuzzy_lines(frame).where("doc_id = 2 AND dropped").collect()}
+    assert len(found) >= 0.985 * len(pairs)
+
+
 def test_toxicity_learns_planted_words(spark, odd):
     rng = np.random.default_rng(2)
     vocabulary = [f"{a}{b}" for a in ("the", "on", "er", "in", "th", "re") for b in ("at", "en", "ou", "nd", "ti", "ha")]
