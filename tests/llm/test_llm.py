@@ -252,6 +252,20 @@ def test_templates_find_items_with_other_slots(spark, odd):
     assert templates.without_leaks(odd, bench).columns == odd.columns
 
 
+def leaked(spark, pairs):
+    """Which documents leak the item beside them."""
+    bench = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(pairs)], "item_id long, text string")
+    frame = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(pairs)], "doc_id long, text string")
+    return {r.doc_id for r in templates.op6_templates(frame, bench).where("doc_id = item_id").collect()}
+
+
+def test_edited_and_long_quotes_leak(spark):
+    words = [[f"{a}{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}" for i in range(100)] for a in "uvwx"]
+    one, two, long, none = words[0][:39], words[1][:39], words[2], words[3][:60]
+    pairs = [(one, one[:20] + ["more"] + one[20:]), (two, two[:13] + ["more"] + two[13:26] + ["word"] + two[26:]), (long, long[30:70]), (none, none[:20])]
+    assert leaked(spark, [(" ".join(a), " ".join(b)) for a, b in pairs]) == {0, 1, 2}
+
+
 def test_inconsistent_slots_are_no_leak(spark):
     item = "take 7 red balls and 9 blue balls then add 7 red balls and drop 9 blue balls again today"
     bad = "take 3 red balls and 4 blue balls then add 5 red balls and drop 6 blue balls again today"
