@@ -266,6 +266,12 @@ def test_edited_and_long_quotes_leak(spark):
     assert leaked(spark, [(" ".join(a), " ".join(b)) for a, b in pairs]) == {0, 1, 2}
 
 
+def test_names_that_open_sentences_and_equal_values_leak(spark):
+    story = "{0} has 12 apples in a bag. {0} gives away a few of the. {0} then eats one of the rest."
+    sums = "there were once {} apples and also {} pears lying in the old bowl"
+    assert leaked(spark, [(story.format("Tom"), story.format("Anna")), (sums.format(12, 5), sums.format(7, 7))]) == {0, 1}
+
+
 def test_inconsistent_slots_are_no_leak(spark):
     item = "take 7 red balls and 9 blue balls then add 7 red balls and drop 9 blue balls again today"
     bad = "take 3 red balls and 4 blue balls then add 5 red balls and drop 6 blue balls again today"
