@@ -42,6 +42,9 @@ SCOPE = {"ul", "ol", "dl", "table", "menu", "dir"}
 LEVELS = 5
 SIBLING_SHARE = 0.2
 LINK_LIST = 0.6
+#: Link density from which a sibling paragraph is none of the article, and characters that make it one without a sentence end.
+TEXT_LINKS = 0.25
+SIBLING_CHARS = 25
 
 
 class Node:
@@ -156,7 +159,7 @@ def score(tree: Tree) -> None:
         node.links += links
         points = (0.1 + min(len(text) / 100, 3) + text.count(",")) * (1 - links / len(text))
         # A paragraph or heading hands its points on; text right inside a container counts for the container.
-        at = node.parent if node.tag in ("p", "pre", "td", "li", "dd", "dt", "blockquote") or node.tag[:1] == "h" and node.tag[1:].isdigit() else node
+        at = node.parent if node.tag in ("p", "pre", "td", "li", "dd", "dt", "blockquote") or heading(node) else node
         for level in range(1, LEVELS + 1):
             if at is None:
                 break
@@ -167,10 +170,36 @@ def score(tree: Tree) -> None:
         node.parent.links += node.links
 
 
+def heading(node: Node) -> bool:
+    return node.tag[:1] == "h" and node.tag[1:].isdigit()
+
+
+def reads_on(node: Node, last: str) -> bool:
+    """Whether a paragraph or heading beside the container reads as part of it; its points went to the parent, so its own text tells."""
+    if node.links / node.chars >= TEXT_LINKS:
+        return False
+    return heading(node) or node.tag in ("p", "pre", "blockquote") and (node.chars >= SIBLING_CHARS or "," in last or last.rstrip("\"')”’»]")[-1:] in set(".!?:…。！？"))
+
+
 def worth(node: Node) -> float:
     return node.points * (1 - node.links / node.chars) if node.chars else 0.0
 
 
+def titles(tree: Tree, whole: Node) -> set[int]:
+    """Headings that lead up to a container: before it, beside one of its ancestors below the body."""
+    above, at = set(), whole.parent
+    while at is not None and at.tag not in ("body", "html", ""):
+        at = at.parent
+        above.add(id(at))
+    found = set()
+    for node in tree.nodes:  # in page order
+        if node is whole:
+            break
+        if heading(node) and not node.drop and node.chars and id(node.parent) in above and node.links / node.chars < TEXT_LINKS:
+            found.add(id(node))
+    return found
+
+
 def main_text(html: str | None) -> str:
     """Blocks of the article, one line each; empty if the page has none."""
     if not html:
@@ -190,15 +219,21 @@ def main_text(html: str | None) -> str:
     whole = up or best
     kept = {id(whole)}
     if whole.parent is not None and whole.parent.tag not in ("html", ""):
-        kept |= {id(n) for n in live if n.parent is whole.parent and worth(n) >= SIBLING_SHARE * worth(best)}
+        last = {id(node): text for node, text, _ in tree.blocks}
+        kept |= {id(n) for n in live if n.parent is whole.parent and (worth(n) >= SIBLING_SHARE * worth(best) or up is None and reads_on(n, last.get(id(n), "")))}
+        kept |= titles(tree, whole) if up is None else set()
     elif whole.tag in ("html", ""):
         kept.add(id(tree.nodes[0]))
+    body = id(whole) if whole.tag not in ("html", "body", "") else 0
+    within: dict[int, bool] = {}
     verdicts: dict[int, bool] = {}
     inside: dict[int, bool] = {}
     for node in tree.nodes:  # parents come before their children
         own = id(node) in kept or node.parent is not None and inside[id(node.parent)]
         inside[id(node)] = own
-        links = node.tag in ("ul", "ol", "div", "section", "table") and node.chars and node.links / node.chars > LINK_LIST and id(node) not in kept
+        within[id(node)] = id(node) == body or node.parent is not None and within[id(node.parent)]
+        # Inside the article a list of links, such as its sources, is text; furniture there goes by its marks.
+        links = not within[id(node)] and node.tag in ("ul", "ol", "div", "section", "table") and node.chars and node.links / node.chars > LINK_LIST and id(node) not in kept
         verdicts[id(node)] = own and not node.drop and not links and (node.parent is None or id(node) in kept or verdicts[id(node.parent)])
     return "\n".join(text for node, text, _ in tree.blocks if verdicts[id(node)])
 

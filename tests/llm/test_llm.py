@@ -84,6 +84,15 @@ def test_main_text_without_an_article_element_keeps_siblings():
     assert html.main_text(page).count("\n") == 2
 
 
+def test_main_text_keeps_title_lead_and_end_beside_the_container():
+    paragraph = "<p>" + "Some words, more words, and still more words in a row. " * 4 + "</p>"
+    sources = "<ul><li><a href=1>First source of it</a><li><a href=2>Second source</a></ul>"
+    links = "<ul><li><a href=3>Elsewhere one</a><li><a href=4>Elsewhere two</a></ul>"
+    page = f"<body><div class=post><h1>Title</h1><p>A lead in short.</p><div class=body>{paragraph * 8}{sources}</div><p>It ends here.</p><p><a href=5>All the posts of this site</a></p>{links}</div></body>"
+    got = html.main_text(page).split("\n")
+    assert got[:2] == ["Title", "A lead in short."] and got[-3:] == ["First source of it", "Second source", "It ends here."] and len(got) == 13
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "plain", "<p>", "<div>" * 5000 + "x", "<p>a" * 5000, "</p></div>", "<b><a><!-- x", "&#0;&bogus;&am"])
 def test_main_text_of_broken_pages(page):
     assert isinstance(html.main_text(page), str)
