@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtloom.llm import html, language_model, lines, packing, quality, sharding, sketches, templates, toxicity, warc
+from courtloom.llm import html, language_model, lines, manifest, packing, quality, sharding, sketches, templates, toxicity, warc
 from courtloom.llm.common import table
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_best_fit": lambda spark, folder: packing.op8_best_fit(table(spark, folder, "documents")),
     "op9_fuzzy_lines": lambda spark, folder: lines.op9_fuzzy_lines(table(spark, folder, "documents")),
     "op10_windows": lambda spark, folder: toxicity.op10_windows(table(spark, folder, "documents"), table(spark, folder, "labels")),
+    "op11_checkpoint_merkle": lambda spark, folder: manifest.op11_checkpoint_merkle(table(spark, folder, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {}
