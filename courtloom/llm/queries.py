@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtloom.llm import html, language_model, lines, manifest, packing, quality, sharding, sketches, templates, toxicity, warc
+from courtloom.llm import collocations, html, language_model, lines, manifest, packing, quality, sharding, sketches, templates, toxicity, urls, warc
 from courtloom.llm.common import table
 
 QUERIES = {
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_fuzzy_lines": lambda spark, folder: lines.op9_fuzzy_lines(table(spark, folder, "documents")),
     "op10_windows": lambda spark, folder: toxicity.op10_windows(table(spark, folder, "documents"), table(spark, folder, "labels")),
     "op11_checkpoint_merkle": lambda spark, folder: manifest.op11_checkpoint_merkle(table(spark, folder, "documents")),
+    "op12_phrase_automata": lambda spark, folder: collocations.op12_phrase_automata(table(spark, folder, "documents")),
+    "op13_link_propagation": lambda spark, folder: urls.op13_link_propagation(table(spark, folder, "pages")),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_phrase_automata": collocations.ORACLE_SQL}
