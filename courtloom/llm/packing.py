@@ -39,8 +39,10 @@ def byte_of_symbol() -> dict[str, int]:
 class Encoder:
     """Text to token ids as little-endian unsigned 32-bit bytes, by the byte-level BPE of a tokenizers file.
 
-    Merges have the order of the ids, so the vocabulary is the ranking.  Only a run of several white-space characters
-    needs the pattern's look-ahead; the other texts are split without it, which gives the same pieces in less time.
+    Merges have the order of the ids, so the vocabulary is the ranking.  Added tokens of the file (such as
+    `<|endoftext|>`) are found in the text first and give their own ids, as the tokenizer does; the text between them
+    is split by the pattern.  Only a run of several white-space characters needs the pattern's look-ahead; the other
+    texts are split without it, which gives the same pieces in less time.
     """
 
     LOOK_AHEAD = r"|\s+(?!\S)"
@@ -52,10 +54,13 @@ class Encoder:
 
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        special = {t["content"] for t in model["added_tokens"]}
+        special = {t["content"]: t["id"] for t in model["added_tokens"]}
         to_byte = byte_of_symbol()
         ranks = {bytes(to_byte[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-        made = lambda pattern: tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        def made(pattern: str):
+            encoding = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+            return lambda text: encoding.encode(text, allowed_special="all", disallowed_special=())
+
         self.full, self.plain = made(public_tokenizers.PATTERN), made(public_tokenizers.PATTERN.replace(self.LOOK_AHEAD, ""))
 
     def encode(self, text: str) -> bytes:

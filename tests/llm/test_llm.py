@@ -342,8 +342,8 @@ def test_tokens_equal_the_tokenizer():
 
     path = public_tokenizers.path(packing.VOCABULARY)
     tokenizer, encoder = Tokenizer.from_file(path), packing.Encoder(path)
-    tokenizer.encode_special_tokens = True
-    for text in ["", "a  b", " x", "a\n b", "a \nb", "it's 's", "<|endoftext|> a", "日本 x’s   é", "a\r\n\r\nb  "]:
+    texts = ["", "a  b", " x", "a\n b", "a \nb", "it's 's", "<|endoftext|> a", "a <|endoftext|> b", "x  <|endoftext|><|endoftext|>\n\n y", "<|endoftext", "日本 x’s   é", "a\r\n\r\nb  "]
+    for text in texts:
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
