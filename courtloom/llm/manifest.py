@@ -82,10 +82,11 @@ def empty_path() -> Column:
     return F.filter(F.array(entry(F.lit(""), F.lit(""))), lambda e: F.lit(False))
 
 
-def subtrees(level: DataFrame, tree: str) -> DataFrame:
-    """Aligned subtrees of one stored level: (tree, q, m, hashes in order); nodes at pos = q * SPAN + index."""
-    grouped = level.groupBy(tree, (F.col("pos") / SPAN).cast("long").alias("q"), "m").agg(F.array_sort(F.collect_list(F.struct("pos", "hash"))).alias("nodes"))
-    return grouped.select(tree, "q", "m", F.transform("nodes", lambda n: n["hash"]).alias("hs"))
+def subtrees(level: DataFrame, tree: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Aligned subtrees of one stored level: (tree, q, m, nodes, hs); nodes at pos = q * SPAN + index, in order."""
+    node = F.struct("pos", "hash", *extra)
+    grouped = level.groupBy(tree, (F.col("pos") / SPAN).cast("long").alias("q"), "m").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
+    return grouped.withColumn("hs", F.transform("nodes", lambda n: n["hash"]))
 
 
 def upper(hs: Column) -> Column:
@@ -116,39 +117,44 @@ def build(nodes: DataFrame, tree: str) -> tuple[list[DataFrame], DataFrame]:
     return stored, durable(top, "merkle-tops")
 
 
-def segments(level: DataFrame, tree: str) -> DataFrame:
-    """Per stored node: its siblings at its own level and at the recomputed level above, as (l, r) entries."""
-    groups = subtrees(level.filter(F.col("m") > 1), tree).withColumn("up", upper(F.col("hs")))
-    one = F.posexplode("hs").alias("i", "hash")
-    rows = groups.select(tree, "q", "m", "hs", "up", one)
+def node_paths(groups: DataFrame, tree: str, extra: tuple[str, ...], carried: list[str]) -> DataFrame:
+    """Explode aligned subtrees that carry their parent's `path` into nodes with their whole path.
+
+    A node's path starts with its siblings in its run, then, if the level above has more than one node, the
+    siblings of its recomputed parent; the recomputed level is dropped once these are taken.
+    """
+    rows = groups.withColumn("up", upper(F.col("hs"))).select(tree, "q", "m", "hs", "up", "path", *carried, F.posexplode("nodes").alias("i", "node"))
     i, k = F.col("i"), F.col("i") % FAN
     j = (i / FAN).cast("int")
     start = j * FAN + 1
     own = entry(F.array_join(F.slice("hs", start, k), ""), F.array_join(F.slice("hs", start + k + 1, FAN - 1 - k), ""))
     above = entry(F.array_join(F.slice("up", 1, j), ""), F.array_join(F.slice("up", j + 2, FAN), ""))
-    two = F.when(F.ceil(F.col("m") / FAN) > 1, F.array(own, above)).otherwise(F.array(own))
-    lone = level.filter(F.col("m") == 1).select(tree, "pos", "m", empty_path().alias("seg"))
-    return rows.select(tree, (F.col("q") * SPAN + i).alias("pos"), "m", two.alias("seg")).unionByName(lone)
+    m = F.col("m")
+    seg = F.when(m == 1, empty_path()).when(F.ceil(m / FAN) > 1, F.array(own, above)).otherwise(F.array(own))
+    keep = [F.col("node")[c].alias(c) for c in ("pos", "hash", *extra)]
+    return rows.select(tree, *keep, F.concat(seg, F.col("path")).alias("path"), *carried)
 
 
-def proofs(stored: list[DataFrame], tree: str, above: DataFrame) -> DataFrame:
-    """Per lowest-level node: (tree, pos, path) where path lists (l, r) from that level to the top of `above`.
+def proofs(stored: list[DataFrame], tree: str, above: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Per node of the lowest stored level: (tree, pos, hash, extra..., path, carried...).
 
-    `above` gives each tree's own path beyond its top, with carried columns, keyed by `_tree`. A stored node of a
-    tree of more than FAN nodes at its level has a stored parent subtree two levels up; the others end below their
-    tree's top and take its path, so trees of every height meet in one chain.
+    `path` lists (l, r) siblings from that level up through `above`, which gives each tree's own path beyond its
+    top, with carried columns, keyed by `_tree`. Parents' paths join one row per aligned subtree, never per node:
+    a subtree of a tree of more than FAN nodes at its level joins its stored parent two levels up, the others end
+    below their tree's top and join its path. Levels above the lowest are written; the lowest is returned unwritten,
+    so the long paths of its nodes are only ever computed where they are used.
     """
     carried = [c for c in above.columns if c not in ("_tree", "path")]
     chain = None
-    for level in reversed(stored):
-        seg = segments(level, tree)
-        ends = seg.filter(F.col("m") <= FAN).join(above, seg[tree].eqNullSafe(above["_tree"]))
-        ends = ends.select(tree, "pos", F.concat("seg", "path").alias("path"), *carried)
+    for depth, level in reversed(list(enumerate(stored))):
+        groups = subtrees(level, tree, extra if depth == 0 else ())
+        ends = groups.filter(F.col("m") <= FAN).join(above, groups[tree].eqNullSafe(above["_tree"])).drop("_tree")
         if chain is not None:
             parent = chain.select(F.col(tree).alias("_tree"), F.col("pos").alias("_q"), "path", *carried)
-            goes = seg.filter(F.col("m") > FAN).join(parent, seg[tree].eqNullSafe(parent["_tree"]) & ((seg["pos"] / SPAN).cast("long") == parent["_q"]))
-            ends = ends.unionByName(goes.select(tree, "pos", F.concat("seg", "path").alias("path"), *carried))
-        chain = durable(ends, "merkle-proofs")
+            goes = groups.filter(F.col("m") > FAN).join(parent, groups[tree].eqNullSafe(parent["_tree"]) & (groups["q"] == parent["_q"])).drop("_tree", "_q")
+            ends = ends.unionByName(goes)
+        nodes = node_paths(ends, tree, extra if depth == 0 else (), carried)
+        chain = nodes if depth == 0 else durable(nodes.select(tree, "pos", "path", *carried), "merkle-proofs")
     return chain
 
 
@@ -180,24 +186,24 @@ def manifest(docs: DataFrame) -> DataFrame:
     # The tree of subroots: one tree, ordered by source; its own proofs start from an empty path.
     subroots = positions(tops.select(F.lit(0).alias("t"), c("source"), c("top").alias("hash")), "t", ["source"])
     upper_stored, root = build(subroots.select("t", "pos", "m", "hash"), "t")
-    root_of = root.select(F.col("t").alias("_tree"), F.col("top").alias("root"), empty_path().alias("path"))
-    over_sources = proofs(upper_stored, "t", root_of)
-    source_paths = subroots.join(over_sources, (subroots["t"] == over_sources["t"]) & (subroots["pos"] == over_sources["pos"]))
-    above = source_paths.select(c("source").alias("_tree"), c("hash").alias("subroot"), "root", "path")
+    root_of = root.select(c("t").alias("_tree"), c("top").alias("root"), empty_path().alias("path"))
+    upper_stored[0] = subroots.select("t", "pos", "m", "hash", "source")
+    over_sources = proofs(upper_stored, "t", root_of, extra=("source",))
+    above = durable(over_sources.select(c("source").alias("_tree"), c("hash").alias("subroot"), "root", "path"), "merkle-sources")
 
-    paths = proofs(stored, "source", above)
-    out = leaves.join(paths, leaves["source"].eqNullSafe(paths["source"]) & (leaves["pos"] == paths["pos"]))
+    stored[0] = leaves.select("source", "pos", "m", "hash", "doc_id", "tampered")
+    out = proofs(stored, "source", above, extra=("doc_id", "tampered"))
     folded = fold(c("tampered"), c("path"))
     return out.select(
         "doc_id",
-        leaves["source"].alias("source"),
+        "source",
         c("hash").alias("leaf"),
         "subroot",
         "root",
         F.sha2(F.array_join(F.transform("path", lambda e: F.concat(e["l"], e["r"])), ""), 256).alias("proof_sha256"),
         folded.alias("folded_root"),
         (folded == c("root")).alias("verified"),
-        leaves["pos"].alias("position"),
+        c("pos").alias("position"),
     )
 
 
