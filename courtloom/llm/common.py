@@ -48,3 +48,10 @@ def alike(a: Column, b: Column, percent: int, least_union: int = 0) -> Column:
         return let(shared, lambda c: let(F.size(s["a"]) + F.size(s["b"]) - c, lambda u: (u < least_union) | (100 * c >= percent * u)))
 
     return let(F.struct(a.alias("a"), b.alias("b")), decide)
+
+
+def fresh(taken, name: str) -> str:
+    """`name`, lengthened by underscores until no column of `taken` has it, for helper columns beside a caller's."""
+    while name in taken:
+        name += "_"
+    return name

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtloom.llm.common import alike, byte_batches
+from courtloom.llm.common import alike, byte_batches, fresh
 from courtloom.llm.components import link_buckets
 from courtloom.session import durable
 
@@ -269,5 +269,6 @@ def without_copies(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows that repeat a doc_id are one document and stay together; rows without one stay.
     """
-    gone = op3_setsketch(documents, percent).where("NOT kept").select(F.col("doc_id").alias("_doc")).distinct()
-    return documents.join(gone, F.col("doc_id").cast("long") == F.col("_doc"), "left_anti")
+    d = fresh(documents.columns, "_doc")
+    gone = op3_setsketch(documents.select("doc_id", "text"), percent).where("NOT kept").select(F.col("doc_id").alias(d)).distinct()
+    return documents.join(gone, F.col("doc_id").cast("long") == F.col(d), "left_anti")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtloom.functions.arrays import let
-from courtloom.llm.common import words
+from courtloom.llm.common import fresh, words
 from courtloom.session import durable
 
 WINDOW = 8
@@ -179,6 +179,7 @@ def op6_templates(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that leak no item; all columns stay."""
-    bad = leaks(documents, benchmark).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
-    keyed = documents.withColumn("_text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return keyed.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_row")), "left_anti").drop("_text")
+    d, r, t = (fresh(documents.columns, n) for n in ("_doc", "_row", "_text"))
+    bad = leaks(documents.select("doc_id", "text"), benchmark).select(F.col("doc_id").alias(d), F.col("row").alias(r)).distinct()
+    keyed = documents.withColumn(t, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return keyed.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.col(t) == F.col(r)), "left_anti").drop(t)

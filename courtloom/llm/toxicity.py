@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtloom.llm.common import byte_batches
+from courtloom.llm.common import byte_batches, fresh
 from courtloom.llm.sketches import Hasher, mix
 
 #: Labelled rows that training uses at most of either label; the choice follows a hash of doc_id.
@@ -341,6 +341,8 @@ def op10_windows(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(documents: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """Documents with a score below `least`; all columns stay."""
-    bad = score(documents, fit(documents, labels)).where(F.col("score") >= least).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
-    keyed = documents.withColumn("_text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return keyed.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_row")), "left_anti").drop("_text")
+    d, r, t = (fresh(documents.columns, n) for n in ("_doc", "_row", "_text"))
+    texts = documents.select("doc_id", "text")
+    bad = score(texts, fit(texts, labels)).where(F.col("score") >= least).select(F.col("doc_id").alias(d), F.col("row").alias(r)).distinct()
+    keyed = documents.withColumn(t, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return keyed.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.col(t) == F.col(r)), "left_anti").drop(t)
