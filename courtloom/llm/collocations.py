@@ -3,8 +3,8 @@
 The count table is a weighted acyclic automaton in table form: a path is an n-gram of one to three words of a
 language, its weight the number of contiguous occurrences. Each input shard builds its own over its sorted n-grams
 (the partial aggregate of Spark's map side, so a word seen a billion times leaves each task as one row); the shards'
-automata are unioned and their weights summed by key range (the final aggregate) and written, sorted by
-(lang, gram) within range partitions. A candidate's score composes it with the automaton twice, once for each part
+automata are unioned and their weights summed by key (the final aggregate); words and phrases that can matter
+(weight 10 or more) are written, sorted by (lang, gram) within each shard. A candidate's score composes it with the automaton twice, once for each part
 of a cut, by joins on (lang, part). Everything is built-in Spark SQL; products of counts are exact decimals.
 """
 
@@ -42,10 +42,16 @@ def grams(docs: DataFrame, longest: int = 3) -> DataFrame:
     return ws.select("lang", F.explode(every).alias("g")).select("lang", "g.k", "g.gram")
 
 
-def automaton(docs: DataFrame) -> DataFrame:
-    """Weighted n-grams (lang, k, gram, f) of all documents, range-sharded and sorted by (lang, gram)."""
+def automaton(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """Weighted n-grams (lang, k, gram, f) of all documents: every word, and the phrases of weight `least` or more.
+
+    Each shard's partial aggregate is its automaton; the final aggregate sums them in hash shards of (lang, k, gram),
+    each written sorted by (lang, gram). Only words (for n) and paths that can be a candidate or a part of one are
+    kept. A range exchange on (lang, gram) was dropped: it sampled and shuffled the whole table once more.
+    """
     weights = grams(docs).groupBy("lang", "k", "gram").agg(F.count(F.lit(1)).alias("f"))
-    return weights.repartitionByRange("lang", "gram").sortWithinPartitions("lang", "gram")
+    kept = weights.filter((F.col("k") == 1) | (F.col("f") >= least))
+    return kept.sortWithinPartitions("lang", "gram")
 
 
 def exact_score(a: str, left: str, right: str) -> Column:
