@@ -4,10 +4,12 @@ import collections
 import datetime
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from courtloom.operators import bucketing, extract, joins, load, normalize
+from courtloom.plans.queries import QUERIES
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -158,3 +160,13 @@ def test_unclosed_tags_stay_linear():
 
     took(2_000)
     assert took(40_000) < 10 * max(took(10_000), 0.01)
+
+
+def test_unparsed_pages_makes_ids_and_no_html(spark, tmp_path):
+    folder = str(tmp_path)
+    duckdb.sql(f"COPY (SELECT range::BIGINT AS o_orderkey, 1::BIGINT AS o_custkey, 'O' AS o_orderstatus, '1-URGENT' AS o_orderpriority, DATE '2020-01-01' AS o_orderdate FROM range(8)) TO '{folder}/orders.parquet'")
+    duckdb.sql(f"COPY (SELECT 1::BIGINT AS c_custkey, 'c' AS c_name, 0::INT AS c_nationkey) TO '{folder}/customer.parquet'")
+    duckdb.sql(f"COPY (SELECT 0::INT AS n_nationkey, 'n' AS n_name) TO '{folder}/nation.parquet'")
+    got = QUERIES["unparsed_pages"](spark, folder)
+    assert sorted(r.case_id for r in got.collect()) == ["0", "2", "3", "4", "6", "7", "copy-0"]
+    assert "html" not in got._jdf.queryExecution().executedPlan().toString()
