@@ -147,3 +147,15 @@ def test_extract_scans_only_what_it_needs(spark):
     assert not any("jail_term_months" in s or "address" in s or "title" in s for s in schemas)
     assert "IsNotNull(height)" in plan and "IsNotNull(filing_date)" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_fresh_pages_move_html_once_and_sort_none(spark):
+    pages = [("a", "x"), ("a", "x"), ("b", "z"), ("b", "y"), ("b", None), (None, "n"), (None, "n"), ("c", None), ("old", "x")]
+    earlier = spark.createDataFrame([("old",), (None,)], "case_id string")
+    got = incremental.fresh_pages(raw(spark, *pages), earlier)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", "x"), ("b", "y"), (None, "n"), ("c", None)], key=str)
+    alike = incremental.fresh_pages(raw(spark, ("a", "x"), ("a", "x"), ("c", "y")), earlier)
+    plan = alike._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and plan.count("Exchange") == 2
+    assert sorted(map(tuple, alike.collect())) == [("a", "x"), ("c", "y")]
+    assert incremental.fresh_pages(raw(spark, ("old", "other")), earlier).collect() == []
