@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from courtloom.operators import blocks, load, normalize
-from courtloom.sources.elements import CASE_TAGS, page_elements
+from courtloom.sources.elements import CASE_TAGS, html_elements, page_elements
 
 
 def P(text):
@@ -256,3 +256,26 @@ def test_parse_plan_moves_nothing_and_walks_pages_once(spark):
     assert "Exchange" not in text
     assert text.count("ArrowEvalPython") == 1
     assert text.count("InfoChargeStatement") == 1
+
+
+def test_each_distinct_tag_is_read_once():
+    from functools import lru_cache
+
+    from courtloom.sources import elements
+
+    page = "<SPAN class=a>x</span><!-- <b> --><script>'<i>'</SCRIPT >&amp;<b/>" * 50 + "y"
+    read = lru_cache(100)(elements.read_token)
+    got = page_elements(page, frozenset({"span", "b"}), read=read)
+    assert got == page_elements(page, frozenset({"span", "b"})) and len(got) == 100
+    assert got[0] == ("span", None, ("a",), "x") and got[1][0] == "b"
+    assert read.cache_info().misses == 5
+
+
+def test_prompts_leave_once_their_label_is_carried(spark):
+    page = P("Race:") + V("x") + "<hr>" + header("Defendant") + P("Sex:") + V("m") + "<span>n</span>" + V("f")
+    df = spark.createDataFrame([(page,)], "html string").select(html_elements("html").alias("elements"))
+    live = blocks.with_spans(df).withColumn("live", blocks.live_items(F.col("items"), F.col("kept")))
+    got = live.select(blocks.labelled(F.col("live")).alias("x")).first().x
+    assert [(x.role, x.label) for x in got] == [
+        ("prompt", "Race"), ("value", "Race"), ("break", "Race"), ("break", "Race"), ("value", "Sex"), ("value", "Sex")
+    ]
