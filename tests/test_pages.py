@@ -279,3 +279,34 @@ def test_prompts_leave_once_their_label_is_carried(spark):
     assert [(x.role, x.label) for x in got] == [
         ("prompt", "Race"), ("value", "Race"), ("break", "Race"), ("break", "Race"), ("value", "Sex"), ("value", "Sex")
     ]
+
+
+def test_flags_name_the_listed_classes(spark):
+    """Each element says in one number which of the listed classes it has, whatever their order and other classes."""
+    page = "<span class='big Value'>a</span><span class='Prompt Value Prompt'>b</span><span class=other>c</span><hr>"
+    df = spark.createDataFrame([(page,), (None,), ("",)], "html string")
+    found = df.select(html_elements("html", classes=("Prompt", "Value")).alias("e")).collect()
+    assert [e["flags"] for e in found[0].e] == [2, 3, 0, 0]
+    assert found[1].e is None and found[2].e == []
+
+
+def test_titles_are_carried_over_blocks(spark):
+    """Blocks before any header take the default title, others the latest header's; nothing else changes."""
+    blank = "cast(null as string) as title"
+    df = spark.sql(f"SELECT array(named_struct('title', title, 'n', 1)) AS bs FROM (SELECT {blank})")
+    df = df.select(F.concat("bs", *[F.array(F.struct(F.lit(t).cast("string").alias("title"), F.lit(n).alias("n"))) for t, n in (("A", 2), (None, 3), ("B", 4), (None, 5))]).alias("bs"))
+    got = df.select(blocks.titled(F.col("bs")).alias("t")).first().t
+    assert [(b.title, b.n) for b in got] == [("Case Information", 1), ("A", 2), ("A", 3), ("B", 4), ("B", 5)]
+    assert df.select(blocks.titled(F.slice("bs", 1, 0)).alias("t")).first().t == []
+
+
+def test_span_queries_parse_the_pages_once(spark, monkeypatch):
+    """The queries on look-ahead reads share one staged parse."""
+    from courtloom.plans import queries, staging
+
+    monkeypatch.setattr(staging, "_STAGED", {})
+    folder = "/root/testdata/sf0.001"
+    for name in ("statute_code", "term_interval", "event_table_rows", "anchor_intervals"):
+        plan = queries.QUERIES[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+        assert "ArrowEvalPython" not in plan and "explode_html" not in plan
+    assert [key[2] for key in staging._STAGED] == ["raw", "spans"]
