@@ -310,3 +310,42 @@ def test_span_queries_parse_the_pages_once(spark, monkeypatch):
         plan = queries.QUERIES[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
         assert "ArrowEvalPython" not in plan and "explode_html" not in plan
     assert [key[2] for key in staging._STAGED] == ["raw", "spans"]
+
+
+ODD_PAGES = [
+    "<i>Disposition</i><left><i> Disposition </i><i>Other</i></left><h6 class=InfoChargeStatement>s</h6><h6>t</h6><hr>",
+    "<span class='Prompt Value'>Both?:</span><span class='Value AltBodyWindowDcCivil'>gone</span><span>none</span>",
+    "<span class=Value>before any prompt</span><th><span class=FirstColumnPrompt> : </span></th><span class=Prompt>:</span>",
+    "<span class=Prompt> Na me ?:</span><span class=Value>a b</span>" + P("Jail Term:") + P("Yrs:") * 9 + V("x"),
+    "",
+    "no tags",
+    None,
+]
+
+
+def test_items_made_in_the_walk_equal_items_of_elements(spark):
+    """Roles, labels and latest prompts read where the pages are walked are those read from elements, page by page."""
+    from courtloom.sources.elements import html_items
+
+    df = spark.createDataFrame([(p,) for p in ODD_PAGES], "html string").coalesce(1)
+    df = df.select(html_items("html").alias("a"), html_elements("html").alias("elements"))
+    got = df.select("a", blocks.items(F.col("elements")).alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
+    assert [x.since for x in got[2].a] == [None, 1, 2] and got[6].a is None and got[4].a == []
+    assert spark.createDataFrame([], "html string").select(html_items("html")).collect() == []
+
+
+def test_a_span_label_holds_until_the_next_prompt_behind_it(spark):
+    """Prompts inside a span are gone with it: a value behind the span stands under the span's own prompt."""
+    page = header("Charge Information") + P("Jail Term:") + P("Yrs:") + V("1") + P("Mos:") + V("2") + P("Days:")
+    page += V("3") + P("Hours:") + V("4") + V("behind") + P("Plea:") + V("G")
+    pages = spark.createDataFrame([("1", page)], "case_id string, html string")
+    entry = normalize.parse_pages(pages).first().entries[0]
+    assert entry["raw"] == {"jail_term": "behind", "plea": "G"}
+
+
+def test_parse_writes_few_rows_between_its_stages(spark):
+    """Stages share one expression where none needs the other's column, so arrays are not written out between them."""
+    raw = spark.createDataFrame([("x", "<hr>")], "case_id string, html string")
+    plan = normalize.parse_pages(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Project") <= 2
