@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,6 +51,37 @@ def test_ties_rank_by_phrase_bytes(spark):
     assert [r.rank for r in got] == list(range(1, len(got) + 1))
 
 
+def test_rare_triples_stay_in_their_task(spark):
+    rows = [(i, f"a b w{i} c d. c d e! a{i} b{i} c{i} d{i}", "en" if i % 3 else None, "s", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    short = collocations.automaton(docs)
+    triples = {(r.lang, r.gram, r.f) for r in short.where("k = 3").collect()}
+    assert triples == {("en", "c d e", 40), ("und", "c d e", 20)}
+    read = docs.selectExpr("cast(coalesce(lang, 'und') as binary) AS lang", "cast(text as binary) AS text")
+    left = collocations.long_grams(read, collocations.frequent_pairs(short)).groupBy("gram").agg(F.sum("f").alias("f")).collect()
+    assert {(r.gram, r.f) for r in left} == {("c d e", 60)}
+
+
+def test_stretches_keep_every_gram(monkeypatch):
+    texts = ["A b\tc  d.e F", None, "", "f g", "ß x\x0bé x é", "a b c d e f g h i j k l m n o p"] * 7
+    langs = ["en", "de", "en", "de", "fr", "en"] * 7
+    want = defaultdict(int)
+    for lang, text in zip(langs, texts):
+        for piece in re.split("[.,;:!?\x0a-\x0d]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            ws = re.findall("[^ \t]+", piece)
+            for k in (1, 2):
+                for i in range(len(ws) - k + 1):
+                    want[lang, k, " ".join(ws[i : i + k])] += 1
+    batch = pa.RecordBatch.from_arrays([pa.array([x.encode() for x in langs]), pa.array([None if t is None else t.encode() for t in texts])], names=["lang", "text"])
+    for size in (1, 40, 1 << 20):
+        monkeypatch.setattr(collocations, "STRETCH_BYTES", size)
+        got = defaultdict(int)
+        for out in collocations.short_grams(iter([batch.slice(0, 5), batch.slice(5, 30), batch.slice(35, 0), batch.slice(35)])):
+            for r in out.to_pylist():
+                got[r["lang"], r["k"], r["gram"]] += r["f"]
+        assert got == want
+
+
 RULES = urls.RULES
 
 
