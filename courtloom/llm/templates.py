@@ -52,8 +52,16 @@ def tokens(text: Column) -> Column:
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09]*\n", ". ")
 
     def typed(ws: Column) -> Column:
+        def entry(c: Column | str, v: Column, o: Column | str) -> Column:
+            return F.struct(*[(F.lit(x) if isinstance(x, str) else x).alias(n) for n, x in zip("cvo", (c, v, o))])
+
+        # Lambdas are interpreted and share nothing, so each word is matched once and what several fields need is bound.
         def one(w: Column, i: Column) -> Column:
-            bare = F.lower(F.regexp_replace(w, EDGES, ""))
+            measured = w.isin(UNITS) & (i > 0) & F.coalesce(digit(F.get(ws, i - 1)), F.lit(False))
+            lower = F.when(measured, entry(UNIT, w, UNIT)).otherwise(entry(w, w, w))
+            return F.when(w.rlike(r"^[a-z]+\z"), lower).otherwise(let(F.lower(F.regexp_replace(w, EDGES, "")), lambda bare: other(w, i, bare)))
+
+        def other(w: Column, i: Column, bare: Column) -> Column:
             before = F.get(ws, i - 1)
             capital = w.rlike(r"^[^\p{L}\p{N}]*\p{Lu}")
             opener = (i == 0) | ends(before)
@@ -61,9 +69,8 @@ def tokens(text: Column) -> Column:
             unit = bare.isin(UNITS) & (i > 0) & digit(before)
             special = F.when(digit(w), NUMBER).when(name, NAME).when(unit, UNIT).otherwise(bare)
             plain = ~w.rlike(r"[\p{Lu}\p{N}]") & ~(bare.isin(UNITS))
-            c = F.when(plain, bare).otherwise(special)
-            other = F.when(plain, bare).otherwise(F.when(capital & (special == bare), NAME).otherwise(special))
-            return F.struct(c.alias("c"), bare.alias("v"), other.alias("o"))
+            typed_ = let(special, lambda c: entry(c, bare, F.when((c == bare) & capital, NAME).otherwise(c)))
+            return F.when(plain, entry(bare, bare, bare)).otherwise(typed_)
 
         return F.filter(F.transform(ws, one), lambda t: t["v"] != "")
 
@@ -71,8 +78,8 @@ def tokens(text: Column) -> Column:
 
 
 def window_hashes(ts: Column, width: int, reading: str) -> Column:
-    """Hash of every window's template in one reading, in order."""
-    whole = F.transform(ts, lambda t: t[reading])
+    """Hash of every window's template in one reading, in order: of the hashes of its tokens, so that each is hashed once."""
+    whole = F.transform(ts, lambda t: F.xxhash64(t[reading]))
     starts = F.sequence(F.lit(1), F.size(ts) - (width - 1))
     hashes = let(whole, lambda cs: F.transform(starts, lambda i: F.xxhash64(F.slice(cs, i, width))))
     return F.when(F.size(ts) >= width, hashes).otherwise(F.array().cast("array<bigint>"))
@@ -89,6 +96,12 @@ def both_readings(ts: Column, width: int) -> Column:
     return let(F.struct(window_hashes(ts, width, "c").alias("c"), window_hashes(ts, width, "o").alias("o")), found)
 
 
+def joint_hashes(ts: Column, width: int) -> Column:
+    """Window hashes of the first reading, then as many of the second, null where they do not differ: numbers only, for whole texts."""
+    hashes = F.struct(window_hashes(ts, width, "c").alias("c"), window_hashes(ts, width, "o").alias("o"))
+    return let(hashes, lambda hs: F.concat(hs["c"], F.zip_with(hs["c"], hs["o"], lambda c, o: F.nullif(o, c))))
+
+
 def slots(ts: Column, start: Column, width: Column | int, second: Column) -> Column:
     """Placeholders of a window with their values, in the reading asked for: structs of c and v."""
     read = F.transform(F.slice(ts, start, width), lambda t: F.struct(F.when(second, t["o"]).otherwise(t["c"]).alias("c"), t["v"].alias("v")))
@@ -126,7 +139,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, cover
     template = docs.select("doc_id", "row", tokens(F.col("text")).alias("ts"))
     hits = None
     for n in sorted(widths):
-        found = template.select("doc_id", "row", F.explode(both_readings(F.col("ts"), n)).alias("w")).select("doc_id", "row", F.col("w.at").alias("pos"), "w.h", "w.second").join(keys, "h").withColumn("width", F.lit(n))
+        # An inner explode would add a filter on the size of the array, and with it read every text twice and more.
+        read = template.select("doc_id", "row", joint_hashes(F.col("ts"), n).alias("hs")).select("doc_id", "row", F.shiftright(F.size("hs"), 1).alias("n"), F.posexplode_outer("hs").alias("place", "h"))
+        found = read.join(keys, "h").select("doc_id", "row", (F.col("place") % F.col("n")).alias("pos"), "h", (F.col("place") >= F.col("n")).alias("second"), F.lit(n).alias("width"))
         hits = found if hits is None else hits.union(found)
     if hits is None:  # nothing to look for
         return docs.limit(0).select("doc_id", "row", F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"), *[F.lit(0).cast("long").alias(c) for c in ("matched", "windows")], F.lit(False).alias("changed"))

@@ -247,6 +247,34 @@ def test_ranges_coalesce():
     assert [(f, s, e, len(h)) for f, s, e, h in reads] == [("a", 0, 15, 2), ("a", 10_000_000, 10_000_005, 1), ("b", 0, 1, 1)]
 
 
+def test_templates_read_each_text_once(spark, monkeypatch):
+    plans, real = {}, templates.durable
+
+    def durable(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(templates, "durable", durable)
+    item = "a cow saw five dogs that had two small cats"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item), (2, "x"), (3, None)], "doc_id long, text string")
+    spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
+    try:
+        assert [r.doc_id for r in templates.op6_templates(docs, bench).collect()] == [1]
+    finally:
+        spark.conf.unset("spark.sql.maxPlanStringLength")
+    assert plans["hits"].count("regexp_extract_all") == 1
+
+
+def test_template_tokens_of_odd_words(spark):
+    text = "m 5 m in Big abc\u0085 \u00e9t\u00e9, (x). Old 7kg KM 3 Km. ... 9 kg, a\nb New"
+    row = spark.createDataFrame([(text,)], "t string").select(templates.tokens(F.col("t")).alias("ts")).first()
+    want = [("m", "m", "m"), ("<number>", "5", "<number>"), ("<unit>", "m", "<unit>"), ("in", "in", "in"), ("<name>", "big", "<name>"), ("abc", "abc", "abc")]
+    want += [("\u00e9t\u00e9", "\u00e9t\u00e9", "\u00e9t\u00e9"), ("x", "x", "x"), ("old", "old", "<name>"), ("<number>", "7kg", "<number>"), ("<name>", "km", "<name>")]
+    want += [("<number>", "3", "<number>"), ("<name>", "km", "<name>"), ("<number>", "9", "<number>"), ("<unit>", "kg", "<unit>"), ("a", "a", "a"), ("b", "b", "b"), ("<name>", "new", "<name>")]
+    assert [tuple(t) for t in row.ts] == want
+
+
 def test_templates_find_items_with_other_slots(spark, odd):
     item = "Maria had 12 apples and gave 5 kg of the apples to Peter before the long winter began"
     other = "Alice had 30 apples and gave 7 lb of the apples to Robert before the long winter began"
