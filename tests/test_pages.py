@@ -349,3 +349,54 @@ def test_parse_writes_few_rows_between_its_stages(spark):
     raw = spark.createDataFrame([("x", "<hr>")], "case_id string, html string")
     plan = normalize.parse_pages(raw)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Project") <= 2
+
+
+SPAN_PAGES = ODD_PAGES + [
+    header("Charge Information") + "".join(STATUTE) + "<hr>" + P("Jail Term:") + "".join(TERM) + V("behind") + P("Plea:") + V("G"),
+    "".join(STATUTE[:7]) + P("Probation:") + P("Supervised") + "".join(TERM) + "<i>Fine</i>" + V("MONEY JUDGMENT") + V("A") + V("B"),
+    EVENTS + V("HEAR") + V("1/2/2016") + V("TRIAL") + "<hr>" + "<th>" + P("Event Type") + P("Event Type") + "</th>" + V("x") * 3,
+    P("Jail Term:") + P("Yrs:") + V("2147483648") + P("Mos:") + V("13") + "".join(TERM[4:]),
+    P("Article:") + V("CR") + P("Sec:"),
+]
+
+
+@pytest.mark.parametrize("lossy", [False, True])
+def test_blocks_read_in_the_walk_equal_the_column_expressions(spark, lossy):
+    from courtloom.functions.arrays import let
+    from courtloom.sources.elements import html_items
+
+    def built(xs):
+        kept = blocks.keep_spans(blocks.spans(xs, lossy))
+        return blocks.titled(blocks.blocks(let(blocks.live_items(xs, kept), blocks.labelled)))
+
+    df = spark.createDataFrame([(p,) for p in SPAN_PAGES], "html string").coalesce(1)
+    df = blocks.with_blocks(df, lossy, html_items("html")).withColumnRenamed("blocks", "a").withColumn("items", html_items("html"))
+    got = blocks.with_blocks(df.withColumn("b", let(F.col("items"), built)), lossy).collect()
+    assert [r.a for r in got] == [r.b for r in got] == [r.blocks for r in got]
+    assert got[6].a is None and got[4].a == [] and len(got[-2].a[0].pairs) == 1
+
+
+def test_items_of_a_parse_never_leave_the_worker(spark):
+    """Items and blocks come out of one pass; the plan holds no item, span or header expression."""
+    raw = spark.createDataFrame([("x", "<hr>")], "case_id string, html string")
+    plan = normalize.parse_pages(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("build_blocks(explode_items(") == 1 and "holds_value" not in plan and "Event Date" in plan
+
+
+def test_a_term_beyond_all_numbers_is_no_term(spark):
+    """Years that overflow once months carry over gave an error that ended the job."""
+    page = header("Charge Information") + P("Jail Term:") + P("Yrs:") + V("2147483647") + P("Mos:") + V("13") + "".join(TERM[4:])
+    raw = spark.createDataFrame([("x", page)], "case_id string, html string")
+    assert normalize.parse_pages(raw).first().entries[0]["attrs"] == {"jail_term": None}
+
+
+def test_known_pieces_of_pages_are_read_once():
+    from courtloom.sources import elements
+
+    tokens = []
+    read = lambda token: tokens.append(token) or elements.read_token(token)
+    known = {}
+    pages = ['<span class="a">x</span> y<hr/>'] * 3 + ["<i title='a > b'>&lt;</i><!-- <hr> --><i a=\"<i>\">z</i>< <i"]
+    found = [elements.walk(page, frozenset({"span", "hr", "i"}), elements.class_list, read, known) for page in pages]
+    assert tokens == ['<span class="a">', "</span>", "<hr/>", "<i title='a > b'>", "</i>", "<!-- <hr> -->", '<i a="<i>">']
+    assert [f[3] for f in found] == [["x", ""]] * 3 + [["<", "z"]]
