@@ -396,7 +396,7 @@ def test_known_pieces_of_pages_are_read_once():
     tokens = []
     read = lambda token: tokens.append(token) or elements.read_token(token)
     known = {}
-    pages = ['<span class="a">x</span> y<hr/>'] * 3 + ["<i title='a > b'>&lt;</i><!-- <hr> --><i a=\"<i>\">z</i>< <i"]
+    pages = ['<span class="a">x</span> y<hr/>'] * 3 + ["<i title='a > b'>&lt;</i><!-- <hr> --><i a=\"<i>\">z</i>< <hr/"]
     found = [elements.walk(page, frozenset({"span", "hr", "i"}), elements.class_list, read, known) for page in pages]
     assert tokens == ['<span class="a">', "</span>", "<hr/>", "<i title='a > b'>", "</i>", "<!-- <hr> -->", '<i a="<i>">']
     assert [f[3] for f in found] == [["x", ""]] * 3 + [["<", "z"]]
